@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowloom.llm import exact_dedup
+from rowloom.llm import exact_dedup, simhash
 from rowloom.llm.tables import table
 
 
@@ -20,5 +20,9 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op4_exact_dedup": op4_exact_dedup}
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op4_exact_dedup": op4_exact_dedup, "op8_simhash": op8_simhash}
 ORACLE_SQL = {"op4_exact_dedup": OP4_SQL}
