@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowloom.llm import exact_dedup, simhash
+from rowloom.llm import exact_dedup, quality, simhash
 from rowloom.llm.tables import table
 
 
@@ -24,5 +24,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_exact_dedup": op4_exact_dedup, "op8_simhash": op8_simhash}
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op4_exact_dedup": op4_exact_dedup, "op5_quality": op5_quality, "op8_simhash": op8_simhash}
 ORACLE_SQL = {"op4_exact_dedup": OP4_SQL}
