@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowloom.llm.tables import scratch
@@ -51,6 +51,8 @@ def absorb(spark: SparkSession, source: str, schema, checkpoint: str, files_per_
     own = spark.newSession()
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # many small stores: no preallocated files in each
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     stream = own.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     query = (
@@ -76,8 +78,9 @@ def collisions(docs: DataFrame, state: DataFrame, digest=content_digest) -> Data
     members = docs.select(digest(text).alias("digest"), text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"), salt.alias("salt"))
     members = members.join(hits, ["digest", "salt"])
     groups = members.groupBy("digest", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    texts = groups.groupBy("digest").agg(F.count(F.lit(1)).alias("n_texts")).where("n_texts > 1").select("digest")
-    return groups.join(texts, "digest", "left_semi")
+    # one row per text by now: a window of one row unless the digest collides
+    texts = groups.withColumn("n_texts", F.count(F.lit(1)).over(Window.partitionBy("digest")))
+    return texts.where("n_texts > 1").drop("n_texts")
 
 
 def exact_dedup(docs: DataFrame, digest=content_digest) -> DataFrame:
