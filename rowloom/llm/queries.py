@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowloom.llm import exact_dedup, quality, simhash
+from rowloom.llm import exact_dedup, packing, quality, simhash
 from rowloom.llm.tables import table
 
 
@@ -28,5 +30,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op4_exact_dedup": op4_exact_dedup, "op5_quality": op5_quality, "op8_simhash": op8_simhash}
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+QUERIES = {"op3_packing": op3_packing, "op4_exact_dedup": op4_exact_dedup, "op5_quality": op5_quality, "op8_simhash": op8_simhash}
 ORACLE_SQL = {"op4_exact_dedup": OP4_SQL}
