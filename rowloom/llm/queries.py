@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import exact_dedup, packing, quality, simhash
+from rowloom.llm import exact_dedup, licenses, line_dedup, packing, quality, simhash, token_counts
 from rowloom.llm.tables import table
 
 
@@ -35,5 +35,45 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
-QUERIES = {"op3_packing": op3_packing, "op4_exact_dedup": op4_exact_dedup, "op5_quality": op5_quality, "op8_simhash": op8_simhash}
-ORACLE_SQL = {"op4_exact_dedup": OP4_SQL}
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", F.col("n_dropped").cast("long").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP2_SQL = """
+WITH lines AS (
+  SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)
+), common AS (
+  SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT doc_id, pos, line, coalesce(doc_id <> keeper, false) AS lost FROM lines LEFT JOIN common USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.license_scan(table(spark, sf_dir, "documents"))
+    best = F.get("hits", F.lit(0))
+    return out.select("doc_id", "license", "score", "n_licenses", best["start"].alias("start"), best["end"].alias("end"))
+
+
+QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op3_packing": op3_packing,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality": op5_quality,
+    "op8_simhash": op8_simhash,
+    "op9_token_counts": op9_token_counts,
+    "op10_license_scan": op10_license_scan,
+}
+ORACLE_SQL = {"op2_line_dedup": OP2_SQL, "op4_exact_dedup": OP4_SQL}
