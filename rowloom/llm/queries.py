@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import exact_dedup, licenses, line_dedup, packing, quality, simhash, token_counts
+from rowloom.llm import ann, exact_dedup, licenses, line_dedup, packing, quality, simhash, token_counts
 from rowloom.llm.tables import table
 
 
@@ -35,6 +35,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", F.col("n_dropped").cast("long").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
@@ -68,6 +72,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_learned_partitions": op1_learned_partitions,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
