@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import ann, exact_dedup, licenses, line_dedup, packing, quality, simhash, token_counts
+from rowloom.llm import ann, bpe, exact_dedup, licenses, line_dedup, packing, quality, simhash, token_counts
 from rowloom.llm.tables import table
 
 
@@ -61,6 +61,17 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks, public_tokenizers.PATTERN).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -77,6 +88,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality": op5_quality,
+    "op6_bpe": op6_bpe,
     "op8_simhash": op8_simhash,
     "op9_token_counts": op9_token_counts,
     "op10_license_scan": op10_license_scan,
