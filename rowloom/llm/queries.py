@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import ann, bpe, exact_dedup, licenses, line_dedup, packing, quality, simhash, token_counts
+from rowloom.llm import ann, bpe, exact_dedup, html_text, licenses, line_dedup, packing, quality, simhash, token_counts
 from rowloom.llm.tables import table
 
 
@@ -72,6 +72,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -89,6 +93,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
+    "op7_html_text": op7_html_text,
     "op8_simhash": op8_simhash,
     "op9_token_counts": op9_token_counts,
     "op10_license_scan": op10_license_scan,
