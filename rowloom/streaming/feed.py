@@ -24,7 +24,7 @@ def run_feed(spark: SparkSession, landed: str, schema, root: str, checkpoint: st
         if have:
             stored = read_version(spark, root, "state", have[-1])
         else:
-            stored = spark.createDataFrame([], current.schema.add("version", "long"))
+            stored = current.limit(0).withColumn("version", F.lit(0).cast("long"))
         changed = new_or_changed(current, stored, key, tracked, "version").persist()
         publish(changed, number)
         if version not in versions(spark, root, "state"):
