@@ -105,7 +105,7 @@ def dealt(index: DataFrame) -> DataFrame:
 
 def near(fps: np.ndarray, others: np.ndarray, distance: int) -> np.ndarray:
     """Which of fps (rows) and others (columns) share the guaranteed number of positional bytes and are in reach."""
-    differ = fps[:, None] ^ others[None, :]
+    differ = (fps[:, None] ^ others[None, :]).view(np.uint64)  # of signed numbers, numpy would count the magnitude's bits
     shared = (differ[..., None].view(np.uint8) == 0).sum(axis=2)
     return (shared >= 8 - distance) & (np.bitwise_count(differ) <= distance)
 
