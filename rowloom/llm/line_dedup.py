@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.llm.tables import written
+
 #: White space stripped at both ends of a line.
 SPACE = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -49,8 +51,8 @@ def line_dedup(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) -> D
     pairs = hashed.select("doc_id", "h.h1", "h.h2")
     per_doc = pairs.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one"))  # rows that repeat a doc_id count once
     common = per_doc.groupBy("h1", "h2").agg(F.count("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"))
-    common = common.where(F.col("n_docs") >= least_docs)
-    # a hot line is one key here: adaptive execution splits its side of the join
+    # a hot line is one key of the join below; as its other side is a table of its own, adaptive execution can split it
+    common = written(common.where(F.col("n_docs") >= least_docs), "common-lines")
     lost = pairs.join(common, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     by_doc = lost.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("lost"))
     lines = F.arrays_zip(F.split("text", "\n", -1).alias("line"), _hashes(F.col("text"), least_chars).alias("hash"))
