@@ -21,35 +21,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.batches import sliced, texts
-from rowloom.llm.wordbpe import BYTE_LEVEL, CACHED, PLAIN
+from rowloom.llm.wordbpe import BYTE_LEVEL, PLAIN
 
 #: White space as the rank files' pattern means it: the Unicode property White_Space.
 WHITE = r"\t-\r \x85\xa0  -     　"
+#: Pre-tokens that a worker keeps at most; then it starts anew.
+CACHED = 800_000
 #: Words of one recursive query, rounds before its rows are gathered and it goes on from there, ids of one decoding.
-WORDS, ROUNDS, IDS = 50_000, 24, 400_000
+WORDS, ROUNDS, IDS = 10_000, 24, 100_000
 
-#: One call advances each word by ROUNDS merges at most and returns its last rows.
+#: One call advances each word by ROUNDS merges at most and returns its last rows. A word's best pair is the smallest
+#: number made of its rank, its place and the place that the contraction empties (23 bits each for the places).
 MERGE = f"""
 WITH RECURSIVE state AS (
   SELECT word, pos, id, 0 AS round FROM symbols
   UNION ALL
-  SELECT s.word, s.pos, CASE WHEN s.pos = best.pair.at THEN best.pair.merged ELSE s.id END, s.round + 1
+  SELECT s.word, s.pos, CASE WHEN s.pos = (pair >> 23) & 8388607 THEN (pair >> 46)::INT ELSE s.id END, s.round + 1
   FROM state s JOIN (
-    SELECT p.word, min(struct_pack(merged := m.merged, at := p.pos, gone := p.next_pos)) AS pair
+    SELECT p.word, min((m.merged::BIGINT << 46) | (p.pos::BIGINT << 23) | p.next_pos) AS pair
     FROM (SELECT word, pos, id, lead(id) OVER w AS next_id, lead(pos) OVER w AS next_pos
           FROM state WHERE round < {ROUNDS} WINDOW w AS (PARTITION BY word ORDER BY pos)) p
     JOIN merges m ON m.l = p.id AND m.r = p.next_id
     GROUP BY p.word
   ) best ON s.word = best.word
-  WHERE s.pos <> best.pair.gone
-)
-SELECT word, pos, id, round FROM state QUALIFY round = max(round) OVER (PARTITION BY word)
+  WHERE s.pos <> pair & 8388607
+), last AS (SELECT word, max(round) AS round FROM state GROUP BY word)
+SELECT word, pos, id, round FROM state JOIN last USING (word, round)
 """
 
+#: Bytes stand as characters of the same number, so that the ordered aggregate is text.
 DECODE = """
-SELECT doc, list(bytes ORDER BY pos) AS parts
-FROM (SELECT doc, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM encoded) JOIN vocabulary USING (id)
-GROUP BY doc
+SELECT doc, string_agg(chars, '' ORDER BY pos) AS chars FROM encoded JOIN vocabulary USING (id) GROUP BY doc
 """
 
 
@@ -68,11 +70,11 @@ class Engine:
         self.plain = BYTE_LEVEL.findall if pattern == GPT_PATTERN else None
         self.single = np.array([ranks[bytes([byte])] for byte in range(256)], np.int32)
         self.cache: dict[str, bytes] = {}
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         pairs = [(ranks[t[:k]], ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         merges = np.array(pairs, np.int32).reshape(-1, 3)
         self._create("merges", {"l": merges[:, 0], "r": merges[:, 1], "merged": merges[:, 2]})
-        self._create("vocabulary", {"id": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(ranks, pa.binary())})
+        self._create("vocabulary", {"id": pa.array(ranks.values(), pa.int32()), "chars": [token.decode("latin-1") for token in ranks]})
 
     def _create(self, name: str, columns: dict) -> None:
         self.con.register("incoming", pa.table(columns))
@@ -124,14 +126,15 @@ class Engine:
 
     def decode(self, ids: pa.ListArray) -> list[bytes]:
         """The bytes of each list of ids; an id that is not in the vocabulary adds none."""
-        sizes = np.cumsum(np.diff(ids.offsets.to_numpy()))
+        bounds, flat = ids.offsets.to_numpy() - ids.offsets[0].as_py(), ids.flatten()
         out, start = [b""] * len(ids), 0
         while start < len(ids):
-            taken = sizes[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(sizes, taken + IDS)))
-            found = self._ask(DECODE, "encoded", {"doc": np.arange(start, end), "ids": ids.slice(start, end - start)})
-            for doc, chunk in zip(found.column("doc").to_pylist(), found.column("parts")):
-                out[doc] = b"".join(chunk.values.to_pylist())
+            end = max(start + 1, int(np.searchsorted(bounds, bounds[start] + IDS, side="right")) - 1)
+            a, b = bounds[start], bounds[end]
+            doc = np.repeat(np.arange(start, end, dtype=np.int32), np.diff(bounds[start : end + 1]))
+            found = self._ask(DECODE, "encoded", {"doc": doc, "pos": np.arange(b - a, dtype=np.int32), "id": flat.slice(a, b - a)})
+            for number, chars in zip(found.column("doc").to_pylist(), found.column("chars").to_pylist()):
+                out[number] = chars.encode("latin-1")
             start = end
         return out
 
@@ -146,18 +149,23 @@ def engine(path: str, pattern: str) -> Engine:
 GPT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str = GPT_PATTERN) -> DataFrame:
+def encode(docs: DataFrame, ranks: str, pattern: str = GPT_PATTERN, decoded: bool = False) -> DataFrame:
     """One row per input row: doc_id, ids (array of int), as the tiktoken library encodes the text without special
     tokens. A null or empty text has no ids. Null doc_ids and repeated rows are rows like others; an empty table gives
-    an empty result. Columns other than doc_id and text are not looked at."""
+    an empty result. Columns other than doc_id and text are not looked at.
+
+    decoded: the ids are decoded again by the same worker, as `decode` does, into a column of that name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = engine(ranks, pattern)
-        for batch in sliced(batches, 2048):
-            ids, bounds = own.encode(texts(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))], ["doc_id", "ids"])
+        for batch in sliced(batches):
+            flat, bounds = own.encode(texts(batch.column("text")))
+            ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))
+            back = [pa.array(own.decode(ids), pa.binary())] if decoded else []
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, *back], ["doc_id", "ids", "decoded"][: 2 + decoded])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>")
+    schema = "doc_id long, ids array<int>" + ", decoded binary" * decoded
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ranks: str, pattern: str = GPT_PATTERN) -> DataFrame:
@@ -165,7 +173,7 @@ def decode(encoded: DataFrame, ranks: str, pattern: str = GPT_PATTERN) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = engine(ranks, pattern)
-        for batch in sliced(batches, 2048):
+        for batch in sliced(batches):
             ids = batch.column("ids")
             flat = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(ids.value_lengths().fill_null(0).to_numpy())]), pa.int32()), ids.flatten())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, pa.array(own.decode(flat), pa.binary())], ["doc_id", "ids", "decoded"])
