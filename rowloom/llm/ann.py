@@ -33,8 +33,8 @@ TARGET_RECALL = 0.96
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
     """Row numbers of the k vectors with the largest inner product with each, itself left out."""
     found = []
-    for start in range(0, len(x), 1024):
-        near = x[start : start + 1024] @ x.T
+    for start in range(0, len(x), 256):
+        near = x[start : start + 256] @ x.T
         near[np.arange(len(near)), np.arange(start, start + len(near))] = -np.inf
         found.append(np.argpartition(-near, k - 1, axis=1)[:, :k])
     return np.concatenate(found)
@@ -226,22 +226,23 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, sample: int = SAMPLE, tar
     """query_id, rank (from 1), vec_id, score (inner product): for each query its k nearest rows found.
 
     vectors: vec_id, embedding. is_query: a condition on vec_id. Every usable row (see `usable`) is a candidate of every
-    query but itself; rows that repeat a vec_id are candidates of their own. Vectors of another length than most of the
-    sample take no part. Of equal scores the smaller vec_id is nearer. An empty table gives an empty result; other
+    query but those of its own id; rows that repeat a vec_id are candidates each, and of such queries the smallest vector
+    asks. Vectors of another length than most of the sample take no part. Of equal scores the smaller vec_id is nearer. An empty table gives an empty result; other
     columns are not looked at."""
     rows = usable(vectors)
-    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow().column("vector").to_pylist()
-    lengths = np.array([len(v) for v in drawn], np.int64)
-    length = int(np.bincount(lengths).argmax()) if drawn else 0
+    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow().column("vector").combine_chunks()
+    lengths = drawn.value_lengths().to_numpy(zero_copy_only=False)
+    length = int(np.bincount(lengths).argmax()) if len(drawn) else 0
     rows = rows.where(F.size("vector") == length)
-    x = np.array([v for v in drawn if len(v) == length])
-    router = fit(x, rows.count(), k, target_recall) if drawn else None
+    x = _matrix(drawn.filter(pa.array(lengths == length))) if length else None
+    router = fit(x, rows.count(), k, target_recall) if length else None
     index = written(_index(rows, router), "vector-index")
     by_part = {row["part"]: row["n"] for row in index.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = np.array([by_part.get(i, 0) for i in range(len(router.b2) if router else 1)])
     blocks = F.array(*[F.lit(max(1, -(-int(n) // BLOCK))) for n in parts])
     held = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.get(blocks, F.col("part")).cast("long")).cast("int"))
-    asked = _routed(rows.where(is_query), router, parts, k)
+    asked = rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))  # one query per id
+    asked = _routed(asked, router, parts, k)
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("part")) - 1)))
     both = held.withColumn("is_query", F.lit(False)).unionByName(asked.withColumn("is_query", F.lit(True)))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

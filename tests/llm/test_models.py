@@ -67,6 +67,8 @@ def test_nearest_exact_edges(spark):
     assert set(got) == {0, 20, 40, 60}
     assert all(found == brute_nearest(rows, q, 5) for q, found in got.items())
     assert ann.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    twice = ann.nearest(df.union(df.where("vec_id IN (0, 5)")), F.col("vec_id") == 0, k=80).collect()
+    assert len(twice) == 70 and sum(r.vec_id == 5 for r in twice) == 2
     few = ann.nearest(df.where("vec_id < 4"), F.col("vec_id") == 0, k=20)
     assert few.count() == 3
 
