@@ -2,8 +2,8 @@
 
 A page is parsed into text blocks. Each block knows the subtrees that hold it, and each subtree has a hash of its tags
 and text. Subtrees are counted per host, over pages of unlike content; those that recur on many pages of their host are
-the site's template and are deleted. What is left loses the elements that are never main text (navigation, forms,
-scripts and the like), by tag, role or class name. Where a page has article elements, the text is theirs.
+the site's template and are deleted. So are the elements that are never main text (navigation, forms, scripts and the like), by
+tag, role or class name. Where a page has article elements, the text is theirs.
 """
 
 from __future__ import annotations
@@ -59,7 +59,7 @@ class Node:
     def __init__(self, tag: str, parent: Node | None, outside: bool, article: bool):
         self.tag, self.parent, self.outside, self.article = tag, parent, outside, article
         self.digest, self.hash = xxhash.xxh3_64(tag.encode()), 0
-        self.deletable = tag in BLOCK and tag != "body" and not (article and tag in CONTENT)
+        self.deletable = tag in BLOCK and tag not in ("html", "body") and not (article and tag in CONTENT)
 
 
 class Page(HTMLParser):
@@ -165,39 +165,47 @@ class Page(HTMLParser):
             self.at.digest.update(data.encode("utf-8", "surrogatepass"))
 
 
-def outline(html: str) -> tuple[list[dict], list[int], int]:
-    """(blocks, hashes of the subtrees that may be template, hash of the whole page). A block: its text, whether it is
-    main text by its elements (inside an article: 2, elsewhere: 1, not: 0), the hashes of the subtrees that hold it."""
+def outline(html: str) -> tuple[str | None, list[dict] | None, list[int], int]:
+    """(text, blocks, hashes of the subtrees that may be template, hash of the whole page).
+
+    Main text is that of the article elements, or of the whole page without such, less the elements that are never main
+    text. Where no subtree that may be template holds any of it, text is all of it and blocks is None. Else text is
+    None and each block has its text and, in path, the places in the list of hashes of the subtrees that hold it."""
     page = Page(html)
-    blocks = []
-    for text, node in page.blocks:
-        kind, path = 0 if node.outside else 2 if node.article else 1, []
+    main = [(text, node) for text, node in page.blocks if not node.outside]
+    main = [(text, node) for text, node in main if node.article] or main
+    subtrees = sorted({node.hash for node in page.nodes if node.deletable})
+    place, blocks, bare = {value: i for i, value in enumerate(subtrees)}, [], True
+    for text, node in main:
+        path = []
         while node is not None:
             if node.deletable:
-                path.append(node.hash)
+                path.append(place[node.hash])
             node = node.parent
-        blocks.append({"text": text, "kind": kind, "path": path})
-    return blocks, sorted({node.hash for node in page.nodes if node.deletable}), page.top.hash
+        bare = bare and not path
+        blocks.append({"text": text, "path": path})
+    if bare:
+        return " ".join(text for text, _ in main), None, subtrees, page.top.hash
+    return None, blocks, subtrees, page.top.hash
 
 
-BLOCKS = "array<struct<text: string, kind: int, path: array<long>>>"
+BLOCKS = "array<struct<text: string, path: array<int>>>"
 
 
 def outlines(pages: DataFrame, *carried: str) -> DataFrame:
-    """The carried columns of pages, then blocks, subtrees, whole for each row. A null html is an empty one."""
+    """The carried columns of pages, then text, blocks, subtrees, whole for each row. A null html is an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("text", pa.string()), ("kind", pa.int32()), ("path", pa.list_(pa.int64()))]))
+        kind = pa.list_(pa.struct([("text", pa.string()), ("path", pa.list_(pa.int32()))]))
         for batch in sliced(batches, 128):
-            made = [outline(html) for html in texts(batch.column("html"))]
-            blocks, subtrees, whole = (list(part) for part in zip(*made))
+            text, blocks, subtrees, whole = zip(*map(outline, texts(batch.column("html"))))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(blocks, kind), pa.array(subtrees, pa.list_(pa.int64())), pa.array(whole, pa.int64())],
-                [*carried, "blocks", "subtrees", "whole"])
+                [*batch.columns[:-1], pa.array(text, pa.string()), pa.array(blocks, kind), pa.array(subtrees, pa.list_(pa.int64())), pa.array(whole, pa.int64())],
+                [*carried, "text", "blocks", "subtrees", "whole"])
 
     rows = pages.select(*carried, "html")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    return rows.mapInArrow(run, f"{schema}, blocks {BLOCKS}, subtrees array<long>, whole long")
+    return rows.mapInArrow(run, f"{schema}, text string, blocks {BLOCKS}, subtrees array<long>, whole long")
 
 
 def host(url: Column) -> Column:
@@ -220,15 +228,16 @@ def main_text(pages: DataFrame, least_pages: int = 5) -> DataFrame:
     own. Rows with a null page_id lose no template. Repeated rows stay repeated; an empty table gives an empty result;
     other columns are not looked at."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host(F.col("url")).alias("host"))
-    parsed = written(outlines(pages, "page_id", "url", "host"), "outlines")  # read by the count and by the deletion
-    found = templates(parsed, least_pages)
-    marks = parsed.select("page_id", "host", F.explode("subtrees").alias("subtree"))
-    # a hot subtree of a hot host is one key here: adaptive execution splits its side of the join
+    parsed = written(outlines(pages, "page_id", "url", "host"), "outlines", compression="zstd")
+    # a hot subtree is one key of the join below; as its other side is a table of its own, adaptive execution can split it
+    found = written(templates(parsed, least_pages), "templates")
+    settled = parsed.where("blocks IS NULL").select("page_id", "url", "text")
+    open_pages = parsed.where("blocks IS NOT NULL").select("page_id", "url", "host", "blocks", "subtrees")
+    marks = open_pages.select("page_id", "host", F.explode("subtrees").alias("subtree"))
     deleted = marks.join(found, ["host", "subtree"]).groupBy("page_id").agg(F.collect_set("subtree").alias("deleted"))
-    rows = parsed.select("page_id", "url", "blocks").join(deleted, "page_id", "left")
-    main = F.filter("blocks", lambda b: (b["kind"] > 0) & ~F.coalesce(F.arrays_overlap(b["path"], F.col("deleted")), F.lit(False)))
-    rows = rows.select("page_id", "url", main.alias("main"))
-    article = F.filter("main", lambda b: b["kind"] == 2)
-    chosen = F.when(F.size(article) > 0, article).otherwise(F.col("main"))
-    text = F.array_join(F.transform(chosen, lambda b: b["text"]), " ")
-    return rows.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    joined = open_pages.join(deleted, "page_id", "left")
+    gone = F.transform("subtrees", lambda s: F.coalesce(F.array_contains(F.col("deleted"), s), F.lit(False)))
+    left = F.filter("blocks", lambda b: ~F.exists(b["path"], lambda i: F.get(F.col("gone"), i)))
+    text = F.array_join(F.transform(left, lambda b: b["text"]), " ")
+    rows = settled.union(joined.withColumn("gone", gone).select("page_id", "url", text.alias("text")))
+    return rows.withColumn("n_chars", F.length("text").cast("long"))

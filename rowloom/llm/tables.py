@@ -22,12 +22,12 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/rowloom/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     """df as a table in the shared folder: it is computed once, its lineage ends there and a lost executor costs no
     recomputation of what came before."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
