@@ -31,5 +31,12 @@ def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clean(spark: SparkSession) -> None:
+    """Remove everything that `scratch` has handed out below the shared folder. Results that are still to be read from
+    there are lost, so save them first; other jobs that share the folder must have ended."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/rowloom")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
