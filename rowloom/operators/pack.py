@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.operators.index import dense_index
-from rowloom.operators.transcripts import ordered_join
+
+#: Rows of a table that may be broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def greedy_parts(df: DataFrame, key: str, pos: str, text: str, most: int = 100_000, overhead: int = 2) -> DataFrame:
@@ -72,8 +74,8 @@ def chunk_merges(df: DataFrame, id_column: str, text: str, k: int, times: int, s
 
     Draws are md5(seed, merge, slot) modulo the number of rows, with spare slots for repeats; they are joined to row
     numbers, so no draw looks at more than its own rows. More than there are rows is an error."""
-    rows = dense_index(df.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")), "_id")
-    n = rows.count()
+    numbered = dense_index(df.select(F.col(id_column).alias("_id")), "_id")
+    n = numbered.count()
     if k > n:
         raise ValueError(f"{k} rows wanted of {n}")
     slots = 4 * k + 16 if k * 2 <= n else 40 * n + 40  # where most rows are wanted, repeats are frequent
@@ -83,9 +85,16 @@ def chunk_merges(df: DataFrame, id_column: str, text: str, k: int, times: int, s
     draws = draws.withColumn("rn", F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") % n + 1)
     firsts = draws.groupBy("merge_no", "rn").agg(F.min("slot").alias("slot"))
     picked = firsts.withColumn("nth", F.row_number().over(Window.partitionBy("merge_no").orderBy("slot"))).where(F.col("nth") <= k)
-    joined = picked.join(rows, "rn").select("merge_no", "_id", F.col("_id").cast("string").alias("_name"), "_text")
-    ids = ordered_join(joined, "_name", ", ", ["_id"], "merge_no", name="ids")
-    return ids.join(ordered_join(joined, "_text", "\n-----------\n", ["_id"], "merge_no", name="text"), "merge_no")
+    wanted = picked.join(numbered, "rn").select("merge_no", "_id")
+    if times * k <= BROADCAST_ROWS:  # then the texts of all other rows stay where they are
+        wanted = F.broadcast(wanted)
+    joined = df.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")).join(wanted, "_id")
+    rows = joined.groupBy("merge_no").agg(F.sort_array(F.collect_list(F.struct("_id", "_text"))).alias("r"))
+    return rows.select(
+        "merge_no",
+        F.array_join(F.transform("r", lambda r: r["_id"].cast("string")), ", ").alias("ids"),
+        F.array_join(F.transform("r", lambda r: r["_text"]), "\n-----------\n").alias("text"),
+    )
 
 
 def until_blanks(df: DataFrame, script: str, pos: str, blank: Column, run: int = 3) -> DataFrame:
