@@ -31,13 +31,24 @@ BLOCK = frozenset(
 #: Elements that are not main text by their tag or their role.
 OUTSIDE = frozenset("nav header footer aside form menu button select textarea dialog head fieldset search label input".split()) | RAW
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-#: Words in a class or id that name something else than main text.
+#: Words in a class or id that name something else than main text; a class that says what its element has or lacks
+#: (has-sidebar) names no such thing.
 NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice|alert|popup|modal|overlay|nav\w*|menu\w*|breadcrumb\w*|"
-    r"header|masthead|footer|sidebar|side|widget\w*|related|recommend\w*|share|sharing|social|subscribe|newsletter|signup|login|search|"
-    r"comment\w*|disqus\w*|respons\w*|replies|reply|pagination|pager|toolbar|skip\w*|copyright|legal)(?=$|[\s_-]|\d)",
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|nav|navbar|navigation|menu|breadcrumbs?|"
+    r"header|masthead|footer|sidebar|side|widgets?|related|recommend\w*|share|sharing|social|subscribe|newsletter|signup|login|search|"
+    r"comments?|commentlist|disqus|respond|responses|replies|reply|pagination|pager|toolbar|skip|copyright|legal)\d*",
     re.IGNORECASE,
 )
+STATES = ("has-", "no-", "with-", "without-", "is-", "not-")
+
+
+def names_other(given: dict, in_article: bool) -> bool:
+    """Whether an element's class or id names something else than main text. In an article, its own header doesn't."""
+    names = f"{given.get('class') or ''} {given.get('id') or ''}".lower().split()
+    parts = (part for name in names if not name.startswith(STATES) for part in re.split("[_-]+", name))
+    return any(NAMES.fullmatch(part) and not (in_article and part == "header") for part in parts)
+
+
 #: Elements that a start tag closes when they are open (fixed values of HTML).
 _P_ENDS = BLOCK - {"br", "body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "optgroup", "legend", "textarea", "select"}
 _CLOSES = {
@@ -120,10 +131,10 @@ class Page(HTMLParser):
         if tag in _CLOSES and (found := self._open(*_CLOSES[tag])):
             self._close_to(found)
         given = dict(attrs)
-        named = tag not in ("html", "body", "article", "main") and NAMES.search(f"{given.get('class') or ''} {given.get('id') or ''}")
+        named = tag not in ("html", "body", "article", "main") and names_other(given, self.at.article)
         hidden = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in (given.get("style") or "").replace(" ", "")
         own_header = tag in ("header", "hgroup") and self.at.article
-        outside = self.at.outside or (tag in OUTSIDE and not own_header) or (given.get("role") or "").lower() in ROLES or bool(named) or hidden
+        outside = self.at.outside or (tag in OUTSIDE and not own_header) or (given.get("role") or "").lower() in ROLES or named or hidden
         node = Node(tag, self.at, outside, self.at.article or tag in ("article", "main") or (given.get("role") or "").lower() in ("main", "article"))
         if outside != self.at.outside:
             self._flush()

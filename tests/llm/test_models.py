@@ -115,6 +115,8 @@ def test_html_elements(spark):
     article = '<nav>n</nav><p>outside</p><article><header><h1>Title</h1></header><p>a<br>b</p><ul><li>c<li>d</ul><aside>no</aside></article><footer>f</footer>'
     got = extract(spark, [(1, "http://a/1", body), (2, "http://a/2", article), (3, None, None), (4, "bad url", ""), (5, "http://a/5", "plain &lt;text&gt;"), (6, "http://a/6", "<p>unclosed <b>bold<p>next")])
     assert got == {1: "T&t € one two three now four tail", 2: "Title a b c d", 3: "", 4: "", 5: "plain <text>", 6: "unclosed bold next"}
+    classes = '<div class="page has-sidebar"><article class="post"><div class="entry-header"><h1>T</h1></div><img class="responsive"><p class="responsive">a</p><div class="post-footer">no</div></article><div id="comments-2">no</div></div>'
+    assert extract(spark, [(1, "http://a/1", classes)]) == {1: "T a"}
     assert extract(spark, []) == {}
 
 
