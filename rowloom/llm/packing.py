@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.batches import sliced, texts
 from rowloom.llm.tables import written
-from rowloom.llm.wordbpe import Encoder
+from rowloom.llm.wordbpe import encoder
 
 #: Sources with a queue of their own, those with most tokens; all others share the last queue.
 QUEUES = 64
@@ -38,8 +38,10 @@ def served(shares: np.ndarray, windows: np.ndarray, size: int) -> np.ndarray:
     owed = shares[None, :] * windows[:, None]
     whole, rest = np.divmod(owed, UNIT)
     spare = size * windows - whole.sum(axis=1)
-    rank = np.argsort(np.argsort(-rest, axis=1, kind="stable"), axis=1)
-    return whole + (rank < spare[:, None])
+    queues = len(shares)
+    deficit = rest * queues + np.arange(queues)[::-1]  # ties go to the first queue
+    least = np.take_along_axis(np.sort(deficit, axis=1), np.minimum(queues - spare, queues - 1)[:, None], axis=1)
+    return whole + ((deficit >= least) & (spare > 0)[:, None])
 
 
 @dataclass
@@ -134,11 +136,11 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """source, doc_id, n, ids: the ids of each text and end_id, little-endian in two bytes where they fit, else four."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
-        kind = "<u2" if max(encoder.library.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else "<u4"
+        own = encoder(tokenizer)
+        kind = "<u2" if max(own.library.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else "<u4"
         last = np.array([end_id], kind).tobytes()
         for batch in sliced(batches, 256):
-            ids = [encoder.ids(text).astype(kind).tobytes() + last for text in texts(batch.column("text"))]
+            ids = [x.astype(kind).tobytes() + last for x in own.ids(texts(batch.column("text")))]
             n = pa.array([len(x) // int(kind[-1]) for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("source"), batch.column("doc_id"), n, pa.array(ids, pa.binary())], ["source", "doc_id", "n", "ids"])
 

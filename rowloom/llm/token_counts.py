@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.batches import sliced, texts
-from rowloom.llm.wordbpe import CACHED, Encoder
+from rowloom.llm.wordbpe import CACHED, encoder
 
 #: Documents that the frequent pre-tokens are taken from, and how many of these are broadcast, at most.
 SAMPLE, FREQUENT = 2_000, 30_000
@@ -28,12 +29,12 @@ def frequent_lengths(docs: DataFrame, tokenizer: str, sample: int = SAMPLE, most
     part = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi").select("text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen = Encoder(tokenizer), Counter()
+        own, seen = encoder(tokenizer), Counter()
         for batch in sliced(batches):
-            for text in filter(encoder.plain, texts(batch.column("text"))):
-                seen.update(encoder.split(text))
+            for text in filter(own.plain, texts(batch.column("text"))):
+                seen.update(own.split(text))
         top = seen.most_common(most)
-        sizes = [len(x.ids) for x in encoder.library.encode_batch_fast([word for word, _ in top], add_special_tokens=False)]
+        sizes = [len(x.ids) for x in own.words.encode_batch_fast([word for word, _ in top], add_special_tokens=False)]
         yield pa.RecordBatch.from_arrays(
             [pa.array([word for word, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64()), pa.array(sizes, pa.int64())], ["word", "n", "size"])
 
@@ -45,28 +46,35 @@ def frequent_lengths(docs: DataFrame, tokenizer: str, sample: int = SAMPLE, most
 
 
 class Counts:
-    """Numbers of tokens of texts, from the broadcast table, then the worker's own cache, then the tokenizer."""
-
-    def __init__(self, tokenizer: str, frequent: dict[str, int]):
-        self.encoder, self.frequent, self.cache = Encoder(tokenizer), frequent, {}
-
-    def __call__(self, text: str) -> int:
-        encoder, cache = self.encoder, self.cache
-        if not encoder.plain(text):
-            return len(encoder.whole(text))
-        words = encoder.split(text)
-        found = list(map(self.frequent.get, words))
-        total = sum(filter(None, found))
-        rest = [word for word, size in zip(words, found) if size is None]
-        missing = set(rest).difference(cache)
-        if missing:
-            if len(cache) + len(missing) > CACHED:
-                cache.clear()
-                missing = set(rest)
-            names = list(missing)
-            for name, ids in zip(names, encoder.library.encode_batch_fast(names, add_special_tokens=False)):
-                cache[name] = len(ids)
-        return total + sum(map(cache.__getitem__, rest))
+    """Numbers of tokens of texts: from the broadcast table, then the worker's own cache, then the tokenizer."""
+
+    def __init__(self, tokenizer: str):
+        self.encoder, self.cache = encoder(tokenizer), {}
+
+    def __call__(self, batch: list[str], frequent: dict[str, int]) -> list[int]:
+        own, cache = self.encoder, self.cache
+        split = [own.split(text) if own.plain(text) else None for text in batch]
+        found = [None if words is None else list(map(frequent.get, words)) for words in split]
+        rest = [words and [word for word, size in zip(words, sizes) if size is None] for words, sizes in zip(split, found)]
+        words = set().union(*filter(None, rest))
+        missing = words.difference(cache)
+        if len(cache) + len(missing) > CACHED:
+            cache.clear()
+            missing = words
+        names = list(missing)
+        for name, made in zip(names, own.words.encode_batch_fast(names, add_special_tokens=False)):
+            cache[name] = len(made)
+        get = cache.__getitem__
+        return [
+            len(own.library.encode(text, add_special_tokens=False)) if sizes is None else sum(filter(None, sizes)) + sum(map(get, others))
+            for text, sizes, others in zip(batch, found, rest)
+        ]
+
+
+@lru_cache(maxsize=2)
+def counter(tokenizer: str) -> Counts:
+    """One cache for each tokenizer in a worker, kept from task to task."""
+    return Counts(tokenizer)
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, sample: int = SAMPLE, most: int = FREQUENT) -> DataFrame:
@@ -78,9 +86,9 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, sample: int
     shared = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, tokenizer, sample, most))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counts(tokenizer, shared.value)
-        for batch in sliced(batches):
-            n = [counts(text) for text in texts(batch.column("text"))]
+        counts = counter(tokenizer)
+        for batch in sliced(batches, 256):
+            n = counts(texts(batch.column("text")), shared.value)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes")

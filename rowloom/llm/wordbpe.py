@@ -7,11 +7,18 @@ splitting below is not known to agree with the library's are given to the librar
 from __future__ import annotations
 
 import json
+import os
 import re
 import unicodedata
+from array import array
+from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
+
+#: A task has one core: the library's own threads would only compete with other tasks.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Letters, numbers and white space up to U+024F (fixed values of the Unicode classes L, N and White_Space there).
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -23,19 +30,26 @@ PLAIN = re.compile("[^\x00-\x1b -ɏ‐-‧‰-⁞€]")
 BYTE_LEVEL = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 #: Pre-tokens with word ends, of normalised plain text.
 WORD_ENDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+")
+ASCII_WORD_ENDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^\t-\r A-Za-z0-9]+")
 #: Pre-tokens that a worker keeps at most; then it starts anew.
-CACHED = 600_000
+CACHED = 800_000
+
+
+def _word_ends(text: str) -> list[str]:
+    if text.isascii():
+        return ASCII_WORD_ENDS.findall(text.lower())
+    return WORD_ENDS.findall(unicodedata.normalize("NFC", text).lower())
 
 
-def splitter(path: str):
-    """The function that gives the pre-tokens of a plain text, for the kinds of file known here; else None."""
-    with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
-    steps = spec["pre_tokenizer"] or {}
-    if steps.get("type") == "ByteLevel" and steps.get("use_regex") and not steps.get("add_prefix_space") and not spec["normalizer"]:
+def splitter(library: Tokenizer):
+    """The function that gives the pre-tokens of a plain text, for the kinds of tokenizer known here; else None."""
+    state = lambda part: json.loads(part.__getstate__()) if part else {}
+    steps, normal = state(library.pre_tokenizer), state(library.normalizer)
+    if steps.get("type") == "ByteLevel" and steps.get("use_regex") and not steps.get("add_prefix_space") and not normal:
         return BYTE_LEVEL.findall
-    if [x["type"] for x in steps.get("pretokenizers", [])] == ["Split", "ByteLevel"] and [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]:
-        return lambda text: WORD_ENDS.findall(unicodedata.normalize("NFC", text).lower())
+    kinds = [x["type"] for x in steps.get("pretokenizers", [])], [x["type"] for x in normal.get("normalizers", [])]
+    if kinds == (["Split", "ByteLevel"], ["NFC", "Replace", "Lowercase"]):
+        return _word_ends
     return None
 
 
@@ -44,28 +58,42 @@ class Encoder:
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.split = splitter(path)
+        self.split = splitter(self.library)
         added = [token.content for token in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
+        # pre-tokens are normalised and split already: all that is left to do is the byte mapping and the merges; each
+        # comes once, so the model needs no cache of its own
+        self.words = Tokenizer.from_file(path)
+        self.words.normalizer = None
+        self.words.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.words.model._resize_cache(0)
         self.cache: dict[str, bytes] = {}
 
-    def whole(self, text: str) -> list[int]:
-        return self.library.encode(text, add_special_tokens=False).ids
-
     def plain(self, text: str) -> bool:
         return self.split is not None and not PLAIN.search(text) and not (self.special and self.special.search(text))
 
-    def ids(self, text: str) -> np.ndarray:
-        """The ids of one text."""
-        if not self.plain(text):
-            return np.array(self.whole(text), np.uint32)
-        tokens, cache = self.split(text), self.cache
-        missing = set(tokens).difference(cache)
-        if missing:
-            if len(cache) + len(missing) > CACHED:
-                cache.clear()
-                missing = set(tokens)
-            names = list(missing)
-            for name, found in zip(names, self.library.encode_batch_fast(names, add_special_tokens=False)):
-                cache[name] = np.array(found.ids, "<u4").tobytes()
-        return np.frombuffer(b"".join(map(cache.__getitem__, tokens)), "<u4")
+    def ids(self, batch: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        split = [self.split(text) if self.plain(text) else None for text in batch]
+        found = [None if words is None else list(map(self.cache.get, words)) for words in split]
+        holes = [() if parts is None else [i for i, part in enumerate(parts) if part is None] for parts in found]
+        missing = list({words[i] for words, at in zip(split, holes) for i in at})
+        if len(self.cache) + len(missing) > CACHED:
+            self.cache.clear()
+        for name, made in zip(missing, self.words.encode_batch_fast(missing, add_special_tokens=False)):
+            self.cache[name] = array("I", made.ids).tobytes()
+        out = []
+        for text, words, parts, at in zip(batch, split, found, holes):
+            if words is None:
+                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4"))
+                continue
+            for i in at:
+                parts[i] = self.cache[words[i]]
+            out.append(np.frombuffer(b"".join(parts), "<u4"))
+        return out
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder for each file in a worker, kept from task to task."""
+    return Encoder(path)
