@@ -17,9 +17,13 @@ SPACE = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def trimmed(line: Column) -> Column:
+    return F.btrim(line, F.lit(SPACE))
+
+
 def line_key(line: Column) -> Column:
     """A line without ASCII white space at its ends, A-Z lower-cased."""
-    return F.translate(F.btrim(line, F.lit(SPACE)), UPPER, LOWER)
+    return F.translate(trimmed(line), UPPER, LOWER)
 
 
 def key_hash(key: Column) -> Column:
@@ -28,11 +32,12 @@ def key_hash(key: Column) -> Column:
 
 
 def _hashes(text: Column, least: int) -> Column:
-    """The hash of each line in order; null for a line whose key is shorter than `least` code points."""
+    """The hash of each line in order; null for a line whose key is shorter than `least` code points. Lower-casing
+    leaves lengths alone, so short lines are spared it; the one-element array has each key made once for both hashes."""
 
     def one(line: Column) -> Column:
-        key = line_key(line)
-        return F.when(F.length(key) >= least, key_hash(key))
+        hashed = F.get(F.transform(F.array(line_key(line)), key_hash), F.lit(0))
+        return F.when(F.length(trimmed(line)) >= least, hashed)
 
     return F.transform(F.split(text, "\n", -1), one)
 
