@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,8 +102,9 @@ def answer_items(df: DataFrame, answer: str, *ids: str) -> DataFrame:
 
 def answers_table(df: DataFrame, answer: str, *ids: str, most_columns: int = 500) -> DataFrame:
     """answer_items with a text column for each key that occurs, in order of first appearance. Two passes: the keys are
-    gathered first; more than most_columns of them is an error."""
-    items = answer_items(df, answer, *ids).withColumn("fields", F.from_json("item", _MAP))
+    gathered first; more than most_columns of them is an error. The parsed items are kept between the passes, on disk
+    where memory is short."""
+    items = answer_items(df, answer, *ids).select(*ids, "pos", F.from_json("item", _MAP).alias("fields")).persist(StorageLevel.MEMORY_AND_DISK)
     keys = (
         items.select(*ids, "pos", F.posexplode(F.map_keys("fields")).alias("n", "key"))
         .groupBy("key").agg(F.min(F.struct(*ids, "pos", "n")).alias("first"))
