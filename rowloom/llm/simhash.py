@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.batches import sliced, texts
@@ -35,21 +35,25 @@ CHUNK = 4096
 CELLS = 1 << 20
 
 
-def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
-    """The 64-bit SimHash of the shingles of a text, as a signed integer.
+def shingles(text: str, words: int = 3, seed: int = 42) -> np.ndarray:
+    """The hashes of the shingles of a text, in its order.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. Fewer words than a shingle has: the whole
-    sequence is the one shingle. No word: zero."""
+    sequence is the one shingle. No word: none."""
     tokens = text.encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(tokens)
     width = min(words, len(tokens))
     ends = list(itertools.accumulate(map(len, tokens), lambda end, size: end + 1 + size))
     starts = [0, *(end + 1 for end in ends)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, ends[width - 1 :])), np.uint64, len(tokens) - width + 1)
-    return majority(hashes)
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, ends[width - 1 :])), np.uint64, len(tokens) - width + 1)
+
+
+def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
+    """The 64-bit SimHash of the shingles of a text, as a signed integer; zero if there is none."""
+    return majority(shingles(text, words, seed))
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -92,15 +96,20 @@ def dealt(index: DataFrame) -> DataFrame:
     """Posting lists with two fingerprints or more, as (key, part, fp). A list of up to CHUNK is one part; of a longer
     one, each pair of its chunks is a part, so that any two of its fingerprints meet in some part."""
     sizes = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = index.join(sizes, "key").withColumn("chunks", F.ceil(F.col("n") / F.lit(CHUNK)).cast("int"))
-    own = F.pmod(F.xxhash64("fp"), F.col("chunks").cast("long")).cast("int")
+    return chunked(index.join(sizes, "key"), "fp", CHUNK).select("key", "fp", "part")
+
+
+def chunked(rows: DataFrame, node: str, size: int) -> DataFrame:
+    """rows (lists by key, each with its length n) with the part: any two of a list meet in some part."""
+    rows = rows.withColumn("chunks", F.ceil(F.col("n") / F.lit(size)).cast("int"))
+    own = F.pmod(F.xxhash64(node), F.col("chunks").cast("long")).cast("int")
     others = F.transform(
         F.expr("sequence(0, chunks - 1)"),
         lambda other: F.least(own, other).cast("long") * F.col("chunks") + F.greatest(own, other),
     )
     # with more than one chunk, a chunk meets itself in each part with another one
     parts = F.when(F.col("chunks") == 1, F.array(F.lit(0).cast("long"))).otherwise(F.array_remove(others, own.cast("long") * F.col("chunks") + own))
-    return rows.select("key", "fp", F.explode(parts).alias("part"))
+    return rows.select("*", F.explode(parts).alias("part"))
 
 
 def near(fps: np.ndarray, others: np.ndarray, distance: int) -> np.ndarray:
@@ -189,12 +198,16 @@ def simhash_groups(docs: DataFrame, distance: int = 3) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def row_key() -> Column:
+    """Names a row by its doc_id and text."""
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
 def one_of_each(docs: DataFrame, distance: int = 3) -> DataFrame:
     """docs with one row of each group of near-duplicates, all columns kept: the row with the smallest doc_id (rows
     without one come last), of several with that doc_id the one with the smallest SHA-256 of its text."""
     key = "_row_" + uuid.uuid4().hex  # no column of docs is called so
-    row_key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.sha2(F.coalesce("text", F.lit("")), 256))
-    keyed = docs.withColumn(key, row_key)
+    keyed = docs.withColumn(key, row_key())
     rows = grouped(written(fingerprints(keyed, key), "fingerprints"), distance)
     stay = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", key)).alias("first"))
     return keyed.dropDuplicates([key]).join(stay.select(F.col(f"first.{key}").alias(key)), key, "left_semi").select(*docs.columns)

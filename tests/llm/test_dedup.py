@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rowloom.llm import components, exact_dedup, line_dedup, simhash
+from rowloom.llm import components, exact_dedup, line_dedup, near_dedup, simhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, keep_id long, fp long, digest string"
 
@@ -131,6 +131,58 @@ def test_blocks_cover_five_bytes():
     assert all(any(set(b) <= set(five) for b in simhash.BLOCKS) for five in itertools.combinations(range(8), 5))
 
 
+def planted_texts():
+    """Groups of near copies down to a similarity of about 0.75, chains of them, and texts that share a passage."""
+    rng, words = random.Random(6), [f"w{i}" for i in range(4000)]
+    passage, rows = [rng.choice(words) for _ in range(60)], []
+    for n in range(50):
+        base = [rng.choice(words) for _ in range(rng.choice([3, 30, 150, 400]))] + (passage if n % 3 == 0 else [])
+        for _ in range(rng.choice([1, 2, 6])):
+            rows.append((len(rows) * 3 + 1, " ".join(base)))
+            if len(base) > 20:
+                base = list(base)
+                for _ in range(rng.randrange(1, 2 + len(base) // 40)):
+                    base[rng.randrange(len(base))] = "Changed"
+    return rows + [(900, ""), (901, " \t\n"), (902, "Einzel wort"), (903, "ÄB c"), (904, "äb c"), (905, "EINZEL  WORT")]
+
+
+@pytest.mark.parametrize("chunk", [2, 512])
+def test_near_copies(spark, monkeypatch, chunk):
+    """Whole groups against brute force; SimHash leaves most of the pairs."""
+    monkeypatch.setattr(near_dedup, "CHUNK", chunk)
+    rows = planted_texts()
+    lower = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t).split()
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := lower(t)) else set() for _, t in rows]
+    label = list(range(len(rows)))
+    pairs = [(a, b) for a, b in itertools.combinations(range(len(rows)), 2) if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    for a, b in pairs:
+        label = [label[a] if x == label[b] else x for x in label]
+    wanted = {}
+    for k, (i, _) in enumerate(rows):
+        wanted[label[k]] = min(i, wanted.get(label[k], i))
+    assert sorted(r.doc_id for r in near_dedup.one_of_each(docs(spark, rows)).collect()) == sorted(wanted.values())
+    fps = [brute_fingerprint(t) for _, t in rows]
+    assert sum(bin(fps[a] ^ fps[b]).count("1") <= 3 for a, b in pairs) < 0.5 * len(pairs)
+
+
+def test_stage_drops_near_copies(spark):
+    """One word of a hundred changed: a similarity of 0.90, but SimHashes further apart than 3 bits."""
+    import corpus_pipeline
+
+    base = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(base)), (2, " ".join(base[:50] + ["Changed"] + base[51:])), (3, " ".join(base[::-1]))]
+    assert bin(brute_fingerprint(rows[0][1]) ^ brute_fingerprint(rows[1][1])).count("1") > 3
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs(spark, rows), "").collect()) == [1, 3]
+
+
+def test_near_copies_edges(spark):
+    rows = [(None, "a b c d"), (5, "a b c d"), (5, "a b c d"), (7, None), (None, "only here with no id at all"), (8, "A  b c D")]
+    left = near_dedup.one_of_each(docs(spark, rows))
+    assert left.columns == docs(spark, []).columns
+    assert sorted((r.doc_id for r in left.collect()), key=str) == [5, 7, None]
+    assert near_dedup.one_of_each(docs(spark, [])).count() == 0
+
+
 def test_components(spark):
     rng = random.Random(1)
     path = [(i, i + 1) for i in range(40)]
