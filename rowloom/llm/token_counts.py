@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.batches import sliced, texts
-from rowloom.llm.wordbpe import CACHED, encoder
+from rowloom.llm.wordbpe import MADE, Cache, encoder
 
 #: Documents that the frequent pre-tokens are taken from, and how many of these are broadcast, at most.
 SAMPLE, FREQUENT = 2_000, 30_000
@@ -31,10 +31,10 @@ def frequent_lengths(docs: DataFrame, tokenizer: str, sample: int = SAMPLE, most
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = encoder(tokenizer), Counter()
         for batch in sliced(batches):
-            for text in filter(own.plain, texts(batch.column("text"))):
-                seen.update(own.split(text))
+            for words in map(own.pre_tokens, texts(batch.column("text"))):
+                seen.update(words or ())
         top = seen.most_common(most)
-        sizes = [len(x.ids) for x in own.words.encode_batch_fast([word for word, _ in top], add_special_tokens=False)]
+        sizes = list(map(len, own.encode_words([word for word, _ in top])))
         yield pa.RecordBatch.from_arrays(
             [pa.array([word for word, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64()), pa.array(sizes, pa.int64())], ["word", "n", "size"])
 
@@ -49,31 +49,29 @@ class Counts:
     """Numbers of tokens of texts: from the broadcast table, then the worker's own cache, then the tokenizer."""
 
     def __init__(self, tokenizer: str):
-        self.encoder, self.cache = encoder(tokenizer), {}
+        self.encoder, self.cache = encoder(tokenizer), Cache()
 
     def __call__(self, batch: list[str], frequent: dict[str, int]) -> list[int]:
         own, cache = self.encoder, self.cache
-        split = [own.split(text) if own.plain(text) else None for text in batch]
+        split = [own.pre_tokens(text) for text in batch]
         found = [None if words is None else list(map(frequent.get, words)) for words in split]
         rest = [words and [word for word, size in zip(words, sizes) if size is None] for words, sizes in zip(split, found)]
-        words = set().union(*filter(None, rest))
-        missing = words.difference(cache)
-        if len(cache) + len(missing) > CACHED:
-            cache.clear()
-            missing = words
-        names = list(missing)
-        for name, made in zip(names, own.words.encode_batch_fast(names, add_special_tokens=False)):
-            cache[name] = len(made)
-        get = cache.__getitem__
+        met = {word: cache.get(word) for word in set().union(*filter(None, rest))}
+        missing = [word for word, size in met.items() if size is None]
+        for start in range(0, len(missing), MADE):
+            names = missing[start : start + MADE]
+            for name, ids in zip(names, own.encode_words(names)):
+                met[name] = len(ids)
+                cache.put(name, len(ids))
         return [
-            len(own.library.encode(text, add_special_tokens=False)) if sizes is None else sum(filter(None, sizes)) + sum(map(get, others))
+            len(own.library.encode(text, add_special_tokens=False)) if sizes is None else sum(filter(None, sizes)) + sum(map(met.__getitem__, others))
             for text, sizes, others in zip(batch, found, rest)
         ]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def counter(tokenizer: str) -> Counts:
-    """One cache for each tokenizer in a worker, kept from task to task."""
+    """One cache in a worker, kept from task to task."""
     return Counts(tokenizer)
 
 

@@ -1,7 +1,7 @@
 """Token ids of a tokenizers file, pre-token by pre-token, with a cache in each worker.
 
-The library encodes every pre-token that a worker meets for the first time; texts with characters for which the
-splitting below is not known to agree with the library's are given to the library whole.
+The library encodes every pre-token that a worker meets for the first time. Texts of common characters are split by
+Python's own patterns; for all others the library normalises and splits, and the same cache serves their pre-tokens.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import os
 import re
 import unicodedata
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -31,8 +31,29 @@ BYTE_LEVEL = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+
 #: Pre-tokens with word ends, of normalised plain text.
 WORD_ENDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+")
 ASCII_WORD_ENDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^\t-\r A-Za-z0-9]+")
-#: Pre-tokens that a worker keeps at most; then it starts anew.
-CACHED = 800_000
+#: Pre-tokens encoded at once.
+MADE = 10_000
+#: Pre-tokens that each of the two generations of a worker's cache holds at most: some 40 MB for both.
+CACHED = 100_000
+
+
+class Cache:
+    """A bounded map in two generations: once the younger one is full it takes the place of the older, which goes. What
+    is asked for again moves to the younger, so frequent words stay."""
+
+    def __init__(self, most: int = CACHED):
+        self.most, self.young, self.old = most, {}, {}
+
+    def get(self, word: str):
+        found = self.young.get(word)
+        if found is None and (found := self.old.get(word)) is not None:
+            self.put(word, found)
+        return found
+
+    def put(self, word: str, value) -> None:
+        if len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+        self.young[word] = value
 
 
 def _word_ends(text: str) -> list[str]:
@@ -57,43 +78,55 @@ class Encoder:
     """Ids of texts without special tokens. Their strings inside a text are found as the library does by default."""
 
     def __init__(self, path: str):
-        self.library = Tokenizer.from_file(path)
-        self.split = splitter(self.library)
-        added = [token.content for token in self.library.get_added_tokens_decoder().values()]
+        # pre-tokens are normalised and split already: all that is left to do is the byte mapping and the merges; the
+        # cache is here, so the model needs none of its own
+        self.path, self.words = path, Tokenizer.from_file(path)
+        self.normalizer, self.steps = self.words.normalizer, self.words.pre_tokenizer
+        self.split = splitter(self.words)
+        added = [token.content for token in self.words.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
-        # pre-tokens are normalised and split already: all that is left to do is the byte mapping and the merges; each
-        # comes once, so the model needs no cache of its own
-        self.words = Tokenizer.from_file(path)
+        self.size = self.words.get_vocab_size(with_added_tokens=True)
         self.words.normalizer = None
         self.words.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.words.model._resize_cache(0)
-        self.cache: dict[str, bytes] = {}
-
-    def plain(self, text: str) -> bool:
-        return self.split is not None and not PLAIN.search(text) and not (self.special and self.special.search(text))
+        self.cache = Cache()
+
+    @cached_property
+    def library(self) -> Tokenizer:
+        """The tokenizer as its file has it, for texts that hold the string of a special token."""
+        return Tokenizer.from_file(self.path)
+
+    def pre_tokens(self, text: str) -> list[str] | None:
+        """The pre-tokens of a text, or None where only the whole text will do: with strings of special tokens inside,
+        or a tokenizer of a kind not known here."""
+        if self.split is None or (self.special and self.special.search(text)):
+            return None
+        if not PLAIN.search(text):
+            return self.split(text)
+        if self.normalizer:
+            text = self.normalizer.normalize_str(text)
+        return [text[a:b] for _, (a, b) in self.steps.pre_tokenize_str(text)]
+
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        return [made.ids for made in self.words.encode_batch_fast(words, add_special_tokens=False)]
 
     def ids(self, batch: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        split = [self.split(text) if self.plain(text) else None for text in batch]
-        found = [None if words is None else list(map(self.cache.get, words)) for words in split]
-        holes = [() if parts is None else [i for i, part in enumerate(parts) if part is None] for parts in found]
-        missing = list({words[i] for words, at in zip(split, holes) for i in at})
-        if len(self.cache) + len(missing) > CACHED:
-            self.cache.clear()
-        for name, made in zip(missing, self.words.encode_batch_fast(missing, add_special_tokens=False)):
-            self.cache[name] = array("I", made.ids).tobytes()
-        out = []
-        for text, words, parts, at in zip(batch, split, found, holes):
-            if words is None:
-                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4"))
-                continue
-            for i in at:
-                parts[i] = self.cache[words[i]]
-            out.append(np.frombuffer(b"".join(parts), "<u4"))
-        return out
-
-
-@lru_cache(maxsize=2)
+        split = [self.pre_tokens(text) for text in batch]
+        met = {word: self.cache.get(word) for word in set().union(*filter(None, split))}
+        missing = [word for word, raw in met.items() if raw is None]
+        for start in range(0, len(missing), MADE):
+            names = missing[start : start + MADE]
+            for name, ids in zip(names, self.encode_words(names)):
+                met[name] = array("I", ids).tobytes()
+                self.cache.put(name, met[name])
+        return [
+            np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4") if words is None else np.frombuffer(b"".join(map(met.__getitem__, words)), "<u4")
+            for text, words in zip(batch, split)
+        ]
+
+
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    """One encoder for each file in a worker, kept from task to task."""
+    """One encoder in a worker, kept from task to task; another file's takes its place."""
     return Encoder(path)

@@ -103,3 +103,69 @@ def test_pack(spark):
     crc = packing.pack(docs(spark, rows[:5]), WORD).withColumn("crc", F.crc32("ids")).first()
     assert crc.crc == zlib.crc32(bytes(crc.ids))
     assert packing.pack(docs(spark, []), WORD).count() == 0
+
+
+def simulated(totals, size, mixture):
+    """Window after window and token after token: each node of the tree keeps what it has served and gives its next token
+    to the child that is furthest behind."""
+    left, done, windows = list(totals), [0] * len(totals), []
+    depth = (len(totals) - 1).bit_length()
+    counters = {}
+
+    def weights():
+        held = [m if n > 0 else 0.0 for m, n in zip(mixture, left)]
+        return [round(m / sum(held) * packing.SCALE) if m else 0 for m in held] if sum(held) else list(left)
+
+    def draw(own):
+        node, low, high = 1, 0, 1 << depth
+        while high - low > 1:
+            middle = (low + high) // 2
+            a, whole = sum(own[low:middle]), sum(own[low:high])
+            served, first = counters.get(node, (0, 0))
+            take = (2 * (served + 1) * a + whole) // (2 * whole) > first if whole % 2 == 0 else ((served + 1) * a + whole // 2) // whole > first
+            counters[node] = (served + 1, first + take)
+            node, low, high = (2 * node, low, middle) if take else (2 * node + 1, middle, high)
+        return low
+
+    own, natural = weights(), not any(mixture)
+    while sum(left):
+        window = [0] * len(totals)
+        saved = dict(counters)
+        for _ in range(min(size, sum(left))):
+            window[draw(own)] += 1
+        if any(w > n for w, n in zip(window, left)) or (not natural and sum(left) < size):
+            return windows, saved  # the phase ends here
+        if natural and sum(left) < size:
+            return windows, saved
+        windows.append(window)
+        left = [n - w for n, w in zip(left, window)]
+    return windows, counters
+
+
+@pytest.mark.parametrize("trial", range(12))
+def test_plan_is_the_simulated_round_robin(trial):
+    rng = random.Random(trial)
+    totals = [rng.randint(1, 3000) for _ in range(rng.randint(2, 11))]
+    mixture = [rng.choice([0.01, 1.0, 7.5]) * rng.random() for _ in totals] if trial % 2 else None
+    (phase, *_) = packing.plan(totals, 64, mixture)
+    windows, _ = simulated(totals, 64, mixture or [0.0] * len(totals))
+    n = min(len(windows), phase.windows)
+    assert n == phase.windows or len(windows) < 2
+    assert np.diff(phase.before(np.arange(n + 1), 64), axis=0).tolist() == windows[:n]
+
+
+def test_many_sources_hold_their_proportions():
+    rng = random.Random(1)
+    totals = [int(10 ** rng.uniform(1, 6)) for _ in range(200)]
+    (phase, *_) = packing.plan(totals, 512)
+    before = phase.before(np.arange(0, phase.windows + 1, 7), 512)
+    wanted = np.outer(np.arange(0, phase.windows + 1, 7), np.array(totals) * 512 / sum(totals))
+    assert np.abs(before - wanted).max() <= 0.5 * phase.depth  # also for shares of far less than a token a window
+
+
+def test_a_mixture_names_a_small_source(spark):
+    rows = [(i, "word " * 30, f"s{i % 50}") for i in range(1000)] + [(2000 + i, "rare " * 40, "tiny") for i in range(3)]
+    for queues in (2, 64):
+        got = packing.pack(docs(spark, rows), WORD, size=64, mixture={"tiny": 1.0, "s1": 3.0}, queues=queues).toPandas()
+        first = got[got.sequence_id < 7].groupby(["sequence_id", "source"]).length.sum().unstack(fill_value=0)
+        assert (first["tiny"] == 16).all() and (first["s1"] == 48).all()
