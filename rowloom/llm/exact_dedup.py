@@ -1,9 +1,10 @@
 """Exact deduplication with keyed streaming state.
 
-Documents arrive as a stream of (digest, doc_id, row_key, locator). A streaming aggregation keeps one state entry per
-digest in RocksDB, without watermark or expiry: the winning row (largest doc_id), where its content lies, and how many
-rows have come. The state is then read back as a table. A digest with more than one row is a hit, and a hit is only
-believed after the full texts of its rows have been compared.
+Documents arrive as a stream of (digest, doc_id, locator). The locator says where a row's content lies, its file and its
+number there, and names the row: it is the same however often the row is read. A streaming aggregation keeps one state
+entry per digest in RocksDB, without watermark or expiry: the winning row (largest doc_id) with its locator, and how many
+rows have come. The state is then read back as a table. A digest with more than one row is a hit; the full texts of its
+rows are fetched by their locators and compared before it is believed.
 
 Everything is a DataFrame operation.
 """
@@ -12,14 +13,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm.tables import scratch
+from rowloom.llm.rows import filter_of, located, new_name, passing, place, without
+from rowloom.llm.tables import scratch, written
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-#: Hits are joined to texts under a salted key, so that one group's texts lie in several tasks.
-SALTS = 32
+ARRIVALS = "digest binary, text_sha256 string, doc_id long, locator struct<file: string, row: long>, n_bytes long, batch string"
 
 
 def content_digest(text: Column) -> Column:
@@ -27,22 +28,26 @@ def content_digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def arrivals(docs: DataFrame, digest=content_digest) -> DataFrame:
-    """What the state needs of each row: digest, doc_id, a key that tells rows of one doc_id apart, the locator."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+def _text() -> Column:
+    return F.coalesce(F.col("text"), F.lit(""))
+
+
+def arrivals(docs: DataFrame, digest=content_digest, batch: str = "") -> DataFrame:
+    """What the state needs of each row, see ARRIVALS."""
+    docs = located(docs)
     return docs.select(
-        digest(text).alias("digest"),
-        F.sha2(text, 256).alias("text_sha256"),
+        digest(_text()).alias("digest"),
+        F.sha2(_text(), 256).alias("text_sha256"),
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.monotonically_increasing_id().alias("row_key"),
-        F.struct(F.input_file_name().alias("file"), F.octet_length(text).cast("long").alias("n_bytes")).alias("locator"),
+        place(docs).alias("locator"),
+        F.octet_length(_text()).cast("long").alias("n_bytes"),
+        F.lit(batch).alias("batch"),
     )
 
 
 def keyed_state(stream: DataFrame) -> DataFrame:
     """The streaming aggregation whose state is the set of contents seen so far. No watermark: nothing expires."""
-    row = F.struct("doc_id", "row_key", "locator")
-    return stream.groupBy("digest").agg(F.max(row).alias("winner"), F.count(F.lit(1)).alias("n_rows"))
+    return stream.groupBy("digest").agg(F.max(F.struct("doc_id", "locator")).alias("winner"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def absorb(spark: SparkSession, source: str, schema, checkpoint: str, files_per_batch: int = 256) -> None:
@@ -56,7 +61,7 @@ def absorb(spark: SparkSession, source: str, schema, checkpoint: str, files_per_
     own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     stream = own.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     query = (
-        keyed_state(stream.select("digest", "doc_id", "row_key", "locator"))
+        keyed_state(stream.select("digest", "doc_id", "locator"))
         .writeStream.outputMode("update").format("noop")
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
@@ -64,27 +69,25 @@ def absorb(spark: SparkSession, source: str, schema, checkpoint: str, files_per_
 
 
 def seen(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """The state as a table: digest, winner (doc_id, row_key, locator), n_rows."""
+    """The state as a table: digest, winner (doc_id, locator), n_rows."""
     state = spark.read.format("statestore").load(checkpoint)
     return state.select("key.digest", F.col("value.max").alias("winner"), F.col("value.count").alias("n_rows"))
 
 
-def collisions(docs: DataFrame, state: DataFrame, digest=content_digest) -> DataFrame:
-    """Groups of equal full text for each digest that stands for more than one text: digest, text, keep_id,
-    group_size. Empty unless the digest collides."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-    hits = state.where("n_rows > 1").select("digest", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    members = docs.select(digest(text).alias("digest"), text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"), salt.alias("salt"))
-    members = members.join(hits, ["digest", "salt"])
-    groups = members.groupBy("digest", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    # one row per text by now: a window of one row unless the digest collides
-    texts = groups.withColumn("n_texts", F.count(F.lit(1)).over(Window.partitionBy("digest")))
-    return texts.where("n_texts > 1").drop("n_texts")
+def _contents(docs: DataFrame, hits: DataFrame) -> DataFrame:
+    """locator, text of the rows that hits name, from docs and, for those of earlier batches, from the files that their
+    locators name. Only rows that pass the filter of the locators are shuffled."""
+    spark, words = docs.sparkSession, filter_of(hits, "locator")
+    own = passing(docs.select(place(docs).alias("locator"), _text().alias("text")), "locator", words)
+    files = [row["file"] for row in hits.where("earlier").select("locator.file").distinct().collect()]
+    if files:
+        old = spark.read.schema("text string").parquet(*files)
+        own = own.unionByName(passing(old.select(place(old).alias("locator"), _text().alias("text")), "locator", words)).dropDuplicates(["locator"])
+    return own
 
 
-def exact_dedup(docs: DataFrame, digest=content_digest) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, row_key.
+def exact_dedup(docs: DataFrame, digest=content_digest, state: str | None = None) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, locator.
 
     Texts are equal when their bytes are; a null text counts as an empty one. Of equal texts the row with the largest
     doc_id stays. Of repeated rows (same doc_id and text) exactly one stays. A null doc_id is smaller than any other;
@@ -92,33 +95,40 @@ def exact_dedup(docs: DataFrame, digest=content_digest) -> DataFrame:
     columns are not looked at.
 
     digest: the hash of the text; one that collides still gives right results, as hits are compared in full.
-    """
-    spark = docs.sparkSession
-    source, checkpoint = scratch(spark, "arrivals"), scratch(spark, "seen")
-    incoming = arrivals(docs, digest)
-    incoming.write.parquet(source)
-    absorb(spark, source, incoming.schema, checkpoint)
-    state = seen(spark, checkpoint)
-    rows = spark.read.schema(incoming.schema).parquet(source)
-    clash = collisions(docs, state, digest).select(
-        "digest", F.sha2("text", 256).alias("text_sha256"), F.col("keep_id").alias("own_keep"), F.col("group_size").alias("own_size"))
-    joined = rows.join(state, "digest", "left").join(clash, ["digest", "text_sha256"], "left")
-    clashed = F.col("own_size").isNotNull()
-    keep = F.when(clashed, F.col("own_keep")).otherwise(F.col("winner.doc_id"))
-    return joined.select(
-        "doc_id",
-        keep.alias("keep_id"),
-        F.when(clashed, F.col("own_size")).otherwise(F.col("n_rows")).alias("group_size"),
-        F.when(clashed, F.col("doc_id").eqNullSafe(keep)).otherwise(F.col("row_key") == F.col("winner.row_key")).alias("kept"),
-        "text_sha256",
-        "row_key",
-    )
-
 
-def without_copies(docs: DataFrame, digest=content_digest) -> DataFrame:
+    state: a folder that all executors reach, kept from call to call. Each call is then a new batch: groups hold the rows
+    of all earlier batches too, and a row that they hold a larger doc_id for is not kept. The files of earlier batches
+    must still be there. Without it, a new state is begun.
+    """
+    spark, docs = docs.sparkSession, located(docs)
+    home = (state or scratch(spark, "exact")).rstrip("/")
+    batch = uuid.uuid4().hex
+    arrivals(docs, digest, batch).write.parquet(f"{home}/arrivals/{batch}")
+    absorb(spark, f"{home}/arrivals/*", ARRIVALS, f"{home}/seen")
+    known = seen(spark, f"{home}/seen")
+    rows = spark.read.schema(ARRIVALS).parquet(f"{home}/arrivals/{batch}")
+    everything = spark.read.schema(ARRIVALS).parquet(f"{home}/arrivals/*").withColumn("earlier", F.col("batch") != batch)
+    own = known
+    if state:  # of earlier batches, only what meets this one
+        own = known.join(rows.select("digest").distinct(), "digest", "left_semi")
+    hits = written(everything.join(own.where("n_rows > 1").select("digest"), "digest").select("digest", "doc_id", "locator", "earlier"), "hits")
+    full = hits.join(_contents(docs, hits), "locator")
+    # one group per digest by now, unless the digest collides
+    groups = full.groupBy("digest", "text").agg(F.count(F.lit(1)).alias("n")).select("digest").groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+    clashing = written(groups.where("n > 1").select("digest"), "clashing")
+    joined = rows.join(known, "digest", "left")
+    winner, size = F.col("winner"), F.col("n_rows")
+    if not clashing.isEmpty():
+        apart = full.join(clashing, "digest", "left_semi").groupBy("digest", "text").agg(
+            F.max(F.struct("doc_id", "locator")).alias("own_winner"), F.count(F.lit(1)).alias("own_size"))
+        joined = joined.join(apart.select("digest", F.sha2("text", 256).alias("text_sha256"), "own_winner", "own_size"), ["digest", "text_sha256"], "left")
+        winner, size = F.coalesce("own_winner", "winner"), F.coalesce("own_size", "n_rows")
+    kept = F.col("locator") == winner["locator"]
+    return joined.select("doc_id", winner["doc_id"].alias("keep_id"), size.alias("group_size"), kept.alias("kept"), "text_sha256", "locator")
+
+
+def without_copies(docs: DataFrame, digest=content_digest, state: str | None = None) -> DataFrame:
     """docs without the rows that exact_dedup drops, all columns kept. Of repeated rows one stays."""
-    key = "_row_" + uuid.uuid4().hex  # no column of docs is called so
-    same = lambda sha: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), sha)
-    kept = exact_dedup(docs, digest).where("kept").select(same(F.col("text_sha256")).alias(key)).distinct()
-    rows = docs.withColumn(key, same(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))).dropDuplicates([key])
-    return rows.join(kept, key, "left_semi").select(*docs.columns)
+    rows, key = located(docs), new_name("place")
+    gone = written(exact_dedup(rows, digest, state).where("NOT kept").select(F.col("locator").alias(key)), "copies")
+    return without(rows.withColumn(key, place(rows)), key, gone).select(*docs.columns)

@@ -52,6 +52,41 @@ def test_exact_keeps_state_between_runs(spark, tmp_path):
     assert state == {3: 2, 2: 2, 9: 1}
 
 
+def test_exact_of_a_second_batch(spark, tmp_path):
+    """Groups hold what earlier batches brought; full texts are compared across batches, also under a weak digest."""
+    weak = lambda t: F.unhex(F.substring(F.sha2(t, 256), 1, 1))
+    rng = random.Random(5)
+    for number, digest in enumerate((exact_dedup.content_digest, weak)):
+        parts = [[(rng.randrange(1000), rng.choice("abcdefgh") * rng.randrange(4)) for _ in range(40)] for _ in range(3)]
+        parts[1] += [(None, "aa"), (5000, "only here")]
+        came = []
+        for k, part in enumerate(parts):
+            path = str(tmp_path / f"{number}-{k}")
+            docs(spark, part).repartition(3).write.parquet(path)
+            got = exact_dedup.exact_dedup(spark.read.parquet(path), digest, str(tmp_path / f"state-{number}")).collect()
+            came += part
+            groups = {}
+            for i, t in came:
+                groups.setdefault(hashlib.sha256(t.encode()).hexdigest(), []).append(i)
+            assert len(got) == len(part)
+            for r in got:
+                ids = groups[r.text_sha256]
+                assert (r.keep_id, r.group_size) == (max((i for i in ids if i is not None), default=None), len(ids))
+                assert not r.kept or r.doc_id == r.keep_id
+            alone = {sha for sha, ids in groups.items() if len(ids) == 1}
+            assert all(r.kept for r in got if r.text_sha256 in alone)
+
+
+def test_places_are_stable(spark, tmp_path):
+    docs(spark, CASES).repartition(3).write.parquet(str(tmp_path / "d"))
+    read = spark.read.parquet(str(tmp_path / "d"))
+    first, again = ({r.locator: r.text_sha256 for r in exact_dedup.arrivals(read).collect()} for _ in range(2))
+    assert first == again and len(first) == len(CASES)
+    lines = read.select("doc_id", F.explode(F.array("text", F.lit("b"))).alias("text"))  # several rows of one place
+    left = exact_dedup.without_copies(lines)
+    assert sorted(r.text or "" for r in left.collect()) == sorted({t or "" for _, t in CASES} | {"b"})
+
+
 def test_exact_is_native(spark):
     plan = exact_dedup.exact_dedup(docs(spark, CASES))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
