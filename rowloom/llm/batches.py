@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 #: Rows handled at once: long texts make larger slices costly.
 ROWS = 512
@@ -20,3 +21,11 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.R
 def texts(column: pa.Array) -> list[str]:
     """Strings of a column, null as the empty string."""
     return [text or "" for text in column.to_pylist()]
+
+
+def lean(spark: SparkSession) -> None:
+    """Batches for Python workers of 2,000 rows and 16 MB at most: whole texts make rows of kilobytes, and Spark's
+    defaults take tens of megabytes on either side. Settings of the session's own stay."""
+    for name, default, value in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "67108864b", "16m")):
+        if spark.conf.get(f"spark.sql.execution.arrow.{name}") == default:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", value)

@@ -4,33 +4,37 @@ A fingerprint has eight byte positions. Two fingerprints at a Hamming distance o
 bytes, so they share at least five positional bytes. Single positional bytes would make posting lists of N/256 rows, so
 the index is keyed by four positional bytes at once: the 14 sets of four positions whose numbers xor to zero contain,
 by the properties of that block design, a subset of every five positions, so each pair that shares five bytes meets
-under one key at least. Pairs that meet have their shared positional bytes tallied; those with five or more are
-verified bit by bit.
+under one key at least. A posting list's fingerprints share four bytes; the tally goes on within the list, by the bytes
+at the four other positions, and only fingerprints that reach five are compared bit by bit. Of a list of unlike
+fingerprints that is one pair in 64.
 
 Fingerprints enter the index once, however many documents have them. A posting list yields a spanning forest of its
-links rather than every pair, and a list longer than CHUNK is dealt out as pairs of chunks to several tasks.
+links rather than every pair. A list longer than CHUNK is dealt anew by a fifth positional byte; what is still longer is
+dealt out as pairs of chunks to several tasks.
 """
 
 from __future__ import annotations
 
 import itertools
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.batches import sliced, texts
 from rowloom.llm.components import connected_components
+from rowloom.llm.rows import located, new_name, row_key, without
 from rowloom.llm.tables import written
 
 #: Sets of four of the eight byte positions; any five positions contain one of them.
 BLOCKS = [b for b in itertools.combinations(range(8), 4) if b[0] ^ b[1] ^ b[2] ^ b[3] == 0]
 #: Fingerprints of one posting list compared within a task: twice this number at most.
 CHUNK = 4096
+#: Keys of five positional bytes begin here: block, four bytes, position and byte of the fifth lie below.
+FIFTH = 1 << 60
 #: Cells of the comparison matrix held at once.
 CELLS = 1 << 20
 
@@ -67,7 +71,7 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, *carried: str) -> DataFrame:
-    """doc_id, fp (64 bits as a signed long) and the carried string columns for each row; a null text counts as
+    """doc_id, fp (64 bits as a signed long) and the carried binary columns for each row; a null text counts as
     empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,7 +80,7 @@ def fingerprints(docs: DataFrame, *carried: str) -> DataFrame:
             rest = [batch.column(name) for name in carried]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64()), *rest], ["doc_id", "fp", *carried])
 
-    schema = ", ".join(["doc_id long", "fp long", *(f"{name} string" for name in carried)])
+    schema = ", ".join(["doc_id long", "fp long", *(f"{name} binary" for name in carried)])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carried).mapInArrow(run, schema)
 
 
@@ -93,10 +97,29 @@ def postings(nodes: DataFrame) -> DataFrame:
 
 
 def dealt(index: DataFrame) -> DataFrame:
-    """Posting lists with two fingerprints or more, as (key, part, fp). A list of up to CHUNK is one part; of a longer
-    one, each pair of its chunks is a part, so that any two of its fingerprints meet in some part."""
-    sizes = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return chunked(index.join(sizes, "key"), "fp", CHUNK).select("key", "fp", "part")
+    """Posting lists with two fingerprints or more, as (key, part, fp). A list of up to CHUNK is one part. A longer one
+    is dealt by a fifth positional byte, under keys from FIFTH on; of lists that are longer than CHUNK even so, each pair
+    of chunks is a part, so that any two of its fingerprints meet in some part."""
+    sizes = written(_sizes(index), "list-sizes")
+    short = index.join(sizes.where(F.col("n") <= CHUNK), "key").select("key", F.lit(0).cast("long").alias("part"), "fp")
+    hot = sizes.where(F.col("n") > CHUNK)
+    if hot.isEmpty():
+        return short
+    number = F.shiftright("key", 32).cast("int")
+    others = F.get(F.array(*[F.array(*map(F.lit, _others(i))) for i in range(len(BLOCKS))]), number)
+    byte = lambda position: F.call_function("shiftrightunsigned", F.col("fp"), 8 * position).bitwiseAND(F.lit(255))
+    fifth = lambda position: F.lit(FIFTH) + F.shiftleft(F.col("key"), 11) + F.shiftleft(position.cast("long"), 8) + byte(position)
+    anew = index.join(hot.select("key"), "key").select("fp", F.explode(F.transform(others, fifth)).alias("key"))
+    return short.unionByName(chunked(anew.join(_sizes(anew), "key"), "fp", CHUNK).select("key", "part", "fp"))
+
+
+def _sizes(index: DataFrame) -> DataFrame:
+    return index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def _others(block: int) -> list[int]:
+    """The positions that are not in a block."""
+    return [position for position in range(8) if position not in BLOCKS[block]]
 
 
 def chunked(rows: DataFrame, node: str, size: int) -> DataFrame:
@@ -113,10 +136,23 @@ def chunked(rows: DataFrame, node: str, size: int) -> DataFrame:
 
 
 def near(fps: np.ndarray, others: np.ndarray, distance: int) -> np.ndarray:
-    """Which of fps (rows) and others (columns) share the guaranteed number of positional bytes and are in reach."""
-    differ = (fps[:, None] ^ others[None, :]).view(np.uint64)  # of signed numbers, numpy would count the magnitude's bits
-    shared = (differ[..., None].view(np.uint8) == 0).sum(axis=2)
-    return (shared >= 8 - distance) & (np.bitwise_count(differ) <= distance)
+    """Which of fps (rows) and others (columns) are in reach."""
+    return np.bitwise_count((fps[:, None] ^ others[None, :]).view(np.uint64)) <= distance  # of signed numbers, numpy would count the magnitude's bits
+
+
+def reaching(fps: np.ndarray, key: int) -> Iterator[np.ndarray]:
+    """The sets of a posting list's fingerprints that share five positional bytes: the key's four and any other one.
+    Under a key of five bytes, that is the list itself."""
+    if key >= FIFTH:
+        yield fps
+        return
+    for position in _others(key >> 32):
+        byte = fps >> 8 * position & 255
+        order = np.argsort(byte, kind="stable")
+        bounds = np.flatnonzero(np.diff(byte[order])) + 1
+        for start, end in itertools.pairwise([0, *bounds.tolist(), len(fps)]):
+            if end - start > 1:
+                yield fps[order[start:end]]
 
 
 def forest(fps: np.ndarray, distance: int = 3) -> list[tuple[int, int]]:
@@ -138,8 +174,8 @@ def forest(fps: np.ndarray, distance: int = 3) -> list[tuple[int, int]]:
 def spanning_links(parts: DataFrame, distance: int = 3) -> DataFrame:
     """a, b: links (distance at most 3) that connect what the posting lists connect."""
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        """Fingerprints of one (key, part) after another; the rows are sorted by both."""
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        """Key and fingerprints of one (key, part) after another; the rows are sorted by both."""
         key, held = None, []
         for batch in batches:
             keys = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], axis=1)
@@ -150,11 +186,11 @@ def spanning_links(parts: DataFrame, distance: int = 3) -> DataFrame:
                     continue
                 if key != (this := tuple(keys[start])):
                     if held:
-                        yield np.concatenate(held)
+                        yield int(key[0]), np.concatenate(held)
                     key, held = this, []
                 held.append(fps[start:end])
         if held:
-            yield np.concatenate(held)
+            yield int(key[0]), np.concatenate(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges: list[tuple[int, int]] = []
@@ -164,8 +200,9 @@ def spanning_links(parts: DataFrame, distance: int = 3) -> DataFrame:
             edges.clear()
             return pa.RecordBatch.from_arrays([pa.array(table.min(axis=1)), pa.array(table.max(axis=1))], ["a", "b"])
 
-        for fps in runs(batches):
-            edges += forest(fps, distance)
+        for key, fps in runs(batches):
+            for some in reaching(fps, key):
+                edges += forest(some, distance)
             if len(edges) >= 10_000:
                 yield out()
         if edges:
@@ -198,16 +235,19 @@ def simhash_groups(docs: DataFrame, distance: int = 3) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def row_key() -> Column:
-    """Names a row by its doc_id and text."""
-    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.sha2(F.coalesce("text", F.lit("")), 256))
+def first_of(keyed: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """keyed with the first row of each root: that with the smallest doc_id, those without one last. rows: doc_id, key,
+    root for each row. Only ids are grouped; of the texts, those that may have to go are moved."""
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", key)
+    rows = written(rows, "roots")
+    stay = rows.groupBy("root").agg(F.min(order).alias("first")).select(F.col(f"first.{key}").alias(key))
+    return without(keyed, key, written(rows.select(key).join(stay, key, "left_anti"), "gone"))
 
 
 def one_of_each(docs: DataFrame, distance: int = 3) -> DataFrame:
     """docs with one row of each group of near-duplicates, all columns kept: the row with the smallest doc_id (rows
-    without one come last), of several with that doc_id the one with the smallest SHA-256 of its text."""
-    key = "_row_" + uuid.uuid4().hex  # no column of docs is called so
-    keyed = docs.withColumn(key, row_key())
+    without one come last), of repeated doc_ids any one."""
+    docs, key = located(docs), new_name("row")
+    keyed = docs.withColumn(key, row_key(docs))
     rows = grouped(written(fingerprints(keyed, key), "fingerprints"), distance)
-    stay = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", key)).alias("first"))
-    return keyed.dropDuplicates([key]).join(stay.select(F.col(f"first.{key}").alias(key)), key, "left_semi").select(*docs.columns)
+    return first_of(keyed, rows.select("doc_id", key, "root"), key).select(*docs.columns)

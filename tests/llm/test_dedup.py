@@ -144,9 +144,10 @@ def test_simhash_edges(spark):
     assert simhash.simhash_groups(docs(spark, [])).count() == 0
 
 
-def test_index_finds_every_link(spark, monkeypatch):
+@pytest.mark.parametrize("chunk", [8, 40, 4096])
+def test_index_finds_every_link(spark, monkeypatch, chunk):
     """Chunks of long posting lists and few bits of difference, at every distance."""
-    monkeypatch.setattr(simhash, "CHUNK", 8)
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
     rng = random.Random(4)
     centre = rng.getrandbits(64)
     fps = {rng.getrandbits(64) for _ in range(50)} | {centre ^ sum({1 << rng.randrange(64) for _ in range(rng.randrange(6))}) for _ in range(120)}
@@ -161,6 +162,22 @@ def test_index_finds_every_link(spark, monkeypatch):
     assert len(named) == len(set(wanted.values()))
 
 
+def test_tally_spares_what_cannot_link():
+    """Fingerprints under one key of four bytes: only those that share a fifth one are compared."""
+    rng = np.random.default_rng(7)
+    block = simhash.BLOCKS[3]
+    fps = np.unique(rng.integers(-(2**62), 2**62, 600))
+    for position in block:
+        fps = fps & ~np.int64(255 << 8 * position) if position < 7 else fps & np.int64((1 << 56) - 1)
+    fps = np.unique(fps)
+    pairs = set()
+    for some in simhash.reaching(fps, 3 << 32):
+        pairs |= {tuple(sorted(pair)) for pair in itertools.combinations(some.tolist(), 2)}
+    shared = lambda a, b: sum((a ^ b) >> 8 * p & 255 == 0 for p in range(8))
+    assert pairs == {tuple(sorted(pair)) for pair in itertools.combinations(fps.tolist(), 2) if shared(*pair) >= 5}
+    assert len(pairs) < len(fps) * (len(fps) - 1) / 2 / 30
+
+
 def test_blocks_cover_five_bytes():
     assert len(simhash.BLOCKS) == 14
     assert all(any(set(b) <= set(five) for b in simhash.BLOCKS) for five in itertools.combinations(range(8), 5))
