@@ -1,14 +1,20 @@
 """Main text of web pages, with site template removal.
 
-A page is parsed into text blocks. Each block knows the subtrees that hold it, and each subtree has a hash of its tags
-and text. Subtrees are counted per host, over pages of unlike content; those that recur on many pages of their host are
-the site's template and are deleted. So are the elements that are never main text (navigation, forms, scripts and the like), by
-tag, role or class name. Where a page has article elements, the text is theirs.
+A page is parsed into text blocks and element subtrees, each subtree with a hash of its tags and text. Subtrees are
+counted per host in Spark, over pages of unlike content; a subtree that recurs on many of its host's pages is the site's
+template, and all blocks in it are deleted. What does not recur, or on too small a host to tell, is left to rules on tags,
+roles and class names (navigation, forms, adverts, reader comments and the like). Where a page has article elements, the
+text is theirs.
+
+Only containers are template: a paragraph, heading, list item or cell that recurs by itself is a text that pages share.
+Deletion and rules each take blocks away, so their order does not matter; pages of whose main text no subtree could be
+template are therefore not moved to meet the counts (see `removed` for what each of the two takes).
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -18,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.batches import sliced, texts
+from rowloom.llm.rows import located, new_name, row_key
 from rowloom.llm.tables import written
 
 #: Elements without content, elements whose content is never text, elements that end a block (fixed values of HTML).
@@ -51,6 +58,8 @@ def names_other(given: dict, in_article: bool) -> bool:
 
 #: Elements that a start tag closes when they are open (fixed values of HTML).
 _P_ENDS = BLOCK - {"br", "body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "optgroup", "legend", "textarea", "select"}
+#: Blocks that an inline end tag does not close.
+_HELD = BLOCK - {"br"}
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
     "dt": ({"dt", "dd"}, {"dl"}),
@@ -60,17 +69,19 @@ _CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select", "datalist"}),
 }
-#: Blocks that carry the text itself; inside an article, recurrence alone does not make them template.
-CONTENT = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt figcaption caption tr tbody table ul ol dl article main".split())
+#: Blocks that carry the text itself: they are never template by themselves.
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt figcaption caption tr legend summary option br hr".split())
+#: Containers that an article's own text may lie in: inside an article, recurrence alone does not make them template.
+OWN = frozenset("tbody thead tfoot table ul ol dl figure article main".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "outside", "article", "digest", "deletable", "hash")
+    __slots__ = ("tag", "parent", "outside", "article", "digest", "deletable", "hash", "number")
 
-    def __init__(self, tag: str, parent: Node | None, outside: bool, article: bool):
-        self.tag, self.parent, self.outside, self.article = tag, parent, outside, article
+    def __init__(self, tag: str, parent: Node | None, outside: bool, article: bool, number: int):
+        self.tag, self.parent, self.outside, self.article, self.number = tag, parent, outside, article, number
         self.digest, self.hash = xxhash.xxh3_64(tag.encode()), 0
-        self.deletable = tag in BLOCK and tag not in ("html", "body") and not (article and tag in CONTENT)
+        self.deletable = tag in BLOCK and tag not in LEAVES and tag not in ("html", "body") and not (article and tag in OWN)
 
 
 class Page(HTMLParser):
@@ -78,7 +89,8 @@ class Page(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.top = self.at = Node("html", None, False, False)
+        self.top = self.at = Node("html", None, False, False, 0)
+        self.open_tags = Counter(["html"])
         self.blocks: list[tuple[str, Node]] = []
         self.parts: list[str] = []
         self.holder = self.top
@@ -99,6 +111,7 @@ class Page(HTMLParser):
 
     def _leave(self) -> None:
         node = self.at
+        self.open_tags[node.tag] -= 1
         node.hash = int.from_bytes(node.digest.digest(), "big", signed=True)
         if node.parent is not None:
             node.parent.digest.update(node.digest.digest())
@@ -112,6 +125,8 @@ class Page(HTMLParser):
         self._leave()
 
     def _open(self, tags: frozenset | set, stop: frozenset | set) -> Node | None:
+        if not any(map(self.open_tags.__getitem__, tags)):
+            return None
         node = self.at
         while node is not None and node.tag not in stop:
             if node.tag in tags:
@@ -135,10 +150,11 @@ class Page(HTMLParser):
         hidden = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in (given.get("style") or "").replace(" ", "")
         own_header = tag in ("header", "hgroup") and self.at.article
         outside = self.at.outside or (tag in OUTSIDE and not own_header) or (given.get("role") or "").lower() in ROLES or named or hidden
-        node = Node(tag, self.at, outside, self.at.article or tag in ("article", "main") or (given.get("role") or "").lower() in ("main", "article"))
+        node = Node(tag, self.at, outside, self.at.article or tag in ("article", "main") or (given.get("role") or "").lower() in ("main", "article"), len(self.nodes))
         if outside != self.at.outside:
             self._flush()
         self.at = node
+        self.open_tags[tag] += 1
         self.nodes.append(node)
         self.raw += tag in RAW
 
@@ -155,7 +171,7 @@ class Page(HTMLParser):
         if tag in BLOCK:
             self._flush()
         if found := self._open({tag}, frozenset()):
-            if tag not in BLOCK and self._open(BLOCK - {"br"}, {tag}):
+            if tag not in BLOCK and self._open(_HELD, {tag}):
                 return  # an inline end tag does not close blocks that were opened within
             if found is self.top:
                 return
@@ -176,79 +192,138 @@ class Page(HTMLParser):
             self.at.digest.update(data.encode("utf-8", "surrogatepass"))
 
 
-def outline(html: str) -> tuple[str | None, list[dict] | None, list[int], int]:
-    """(text, blocks, hashes of the subtrees that may be template, hash of the whole page).
-
-    Main text is that of the article elements, or of the whole page without such, less the elements that are never main
-    text. Where no subtree that may be template holds any of it, text is all of it and blocks is None. Else text is
-    None and each block has its text and, in path, the places in the list of hashes of the subtrees that hold it."""
-    page = Page(html)
+def main_blocks(page: Page) -> list[tuple[str, Node]]:
+    """The blocks that the rules leave: those of the article elements, or of the whole page without such, less the
+    elements that are never main text."""
     main = [(text, node) for text, node in page.blocks if not node.outside]
-    main = [(text, node) for text, node in main if node.article] or main
-    subtrees = sorted({node.hash for node in page.nodes if node.deletable})
-    place, blocks, bare = {value: i for i, value in enumerate(subtrees)}, [], True
-    for text, node in main:
-        path = []
-        while node is not None:
-            if node.deletable:
-                path.append(place[node.hash])
-            node = node.parent
-        bare = bare and not path
-        blocks.append({"text": text, "path": path})
-    if bare:
-        return " ".join(text for text, _ in main), None, subtrees, page.top.hash
-    return None, blocks, subtrees, page.top.hash
+    return [(text, node) for text, node in main if node.article] or main
 
 
-BLOCKS = "array<struct<text: string, path: array<int>>>"
+def outline(html: str) -> dict:
+    """subtrees: hashes of the subtrees that may be template; whole: that of the page. Where no such subtree holds any
+    main text, text is all of it. Else texts has the blocks, at the node of each, parents the nodes' parents (their
+    numbers are smaller) and hashes the nodes' own, zero for those that are no template."""
+    page = Page(html)
+    main, subtrees = main_blocks(page), sorted({node.hash for node in page.nodes if node.deletable})
+    found = {"text": None, "texts": None, "at": None, "parents": None, "hashes": None, "subtrees": subtrees, "whole": page.top.hash}
+    covered = [False] * len(page.nodes)
+    for node in page.nodes:
+        covered[node.number] = node.deletable or (node.parent is not None and covered[node.parent.number])
+    if not any(covered[node.number] for _, node in main):
+        return found | {"text": " ".join(text for text, _ in main)}
+    return found | {
+        "texts": [text for text, _ in main], "at": [node.number for _, node in main],
+        "parents": [node.parent.number if node.parent else -1 for node in page.nodes], "hashes": [node.hash if node.deletable else 0 for node in page.nodes],
+    }
+
+
+def left(texts: list[str], at: list[int], parents: list[int], hashes: list[int], deleted: list[int] | None) -> str:
+    """The blocks that lie in no deleted subtree."""
+    gone, dead = set(deleted or ()), []
+    for parent, value in zip(parents, hashes):
+        dead.append((parent >= 0 and dead[parent]) or (value != 0 and value in gone))
+    return " ".join(text for text, node in zip(texts, at) if not dead[node])
+
+
+KINDS = {
+    "text": pa.string(), "texts": pa.list_(pa.string()), "at": pa.list_(pa.int32()), "parents": pa.list_(pa.int32()), "hashes": pa.list_(pa.int64()),
+    "subtrees": pa.list_(pa.int64()), "whole": pa.int64(),
+}
+OUTLINE = "text string, texts array<string>, at array<int>, parents array<int>, hashes array<long>, subtrees array<long>, whole long"
 
 
 def outlines(pages: DataFrame, *carried: str) -> DataFrame:
-    """The carried columns of pages, then text, blocks, subtrees, whole for each row. A null html is an empty one."""
+    """The carried columns of pages, then those of OUTLINE for each row. A null html is an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("text", pa.string()), ("path", pa.list_(pa.int32()))]))
         for batch in sliced(batches, 128):
-            text, blocks, subtrees, whole = zip(*map(outline, texts(batch.column("html"))))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(text, pa.string()), pa.array(blocks, kind), pa.array(subtrees, pa.list_(pa.int64())), pa.array(whole, pa.int64())],
-                [*carried, "text", "blocks", "subtrees", "whole"])
+            found = [outline(text) for text in texts(batch.column("html"))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array([x[name] for x in found], kind) for name, kind in KINDS.items())], [*carried, *KINDS])
 
     rows = pages.select(*carried, "html")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1])
-    return rows.mapInArrow(run, f"{schema}, text string, blocks {BLOCKS}, subtrees array<long>, whole long")
+    return rows.mapInArrow(run, f"{schema}, {OUTLINE}")
 
 
 def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit("")))
 
 
-def templates(outlined: DataFrame, least_pages: int) -> DataFrame:
-    """host, subtree: subtrees on `least_pages` or more pages of unlike content of a host. Copies of one page count
-    once; counts are summed on the map side first."""
-    each = outlined.select("host", "whole", F.explode("subtrees").alias("subtree"))
-    return each.groupBy("host", "subtree", "whole").agg(F.lit(1).alias("one")).groupBy("host", "subtree").agg(
-        F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages).select("host", "subtree")
+def templates(outlined: DataFrame, least_pages: int, least_share: float) -> DataFrame:
+    """host, subtree: subtrees on `least_pages` or more pages of unlike content of a host, and on `least_share` of them.
+    Copies of one page count once; counts are summed on the map side first."""
+    each = outlined.select("host", "whole", F.explode("subtrees").alias("subtree")).distinct()
+    counts = each.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
+    sizes = outlined.select("host", "whole").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= least_pages)
+    return counts.join(sizes, "host").where(F.col("n") >= F.col("pages") * least_share).select("host", "subtree")
 
 
-def main_text(pages: DataFrame, least_pages: int = 5) -> DataFrame:
+def main_text(pages: DataFrame, least_pages: int = 5, least_share: float = 0.05) -> DataFrame:
     """One row per input row: page_id, url, text, n_chars (code points).
 
     Blocks have their white space turned into single blanks and are joined by a blank, in page order. A page without
     main text, or with null or empty html, has an empty text. A null url or one without a host counts as a host of its
-    own. Rows with a null page_id lose no template. Repeated rows stay repeated; an empty table gives an empty result;
-    other columns are not looked at."""
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host(F.col("url")).alias("host"))
-    parsed = written(outlines(pages, "page_id", "url", "host"), "outlines", compression="zstd")
+    own. Null and repeated page_ids are rows like others, each with its own host; repeated rows stay repeated; an empty
+    table gives an empty result; other columns are not looked at."""
+    rows, key = located(pages), new_name("row")
+    rows = rows.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host(F.col("url")).alias("host"), row_key(rows).alias(key))
+    parsed = written(outlines(rows, "page_id", "url", "host", key), "outlines", compression="zstd")
     # a hot subtree is one key of the join below; as its other side is a table of its own, adaptive execution can split it
-    found = written(templates(parsed, least_pages), "templates")
-    settled = parsed.where("blocks IS NULL").select("page_id", "url", "text")
-    open_pages = parsed.where("blocks IS NOT NULL").select("page_id", "url", "host", "blocks", "subtrees")
-    marks = open_pages.select("page_id", "host", F.explode("subtrees").alias("subtree"))
-    deleted = marks.join(found, ["host", "subtree"]).groupBy("page_id").agg(F.collect_set("subtree").alias("deleted"))
-    joined = open_pages.join(deleted, "page_id", "left")
-    gone = F.transform("subtrees", lambda s: F.coalesce(F.array_contains(F.col("deleted"), s), F.lit(False)))
-    left = F.filter("blocks", lambda b: ~F.exists(b["path"], lambda i: F.get(F.col("gone"), i)))
-    text = F.array_join(F.transform(left, lambda b: b["text"]), " ")
-    rows = settled.union(joined.withColumn("gone", gone).select("page_id", "url", text.alias("text")))
-    return rows.withColumn("n_chars", F.length("text").cast("long"))
+    found = written(templates(parsed, least_pages, least_share), "templates")
+    settled = parsed.where("texts IS NULL").select("page_id", "url", "text")
+    parts = ["texts", "at", "parents", "hashes"]
+    open_pages = parsed.where("texts IS NOT NULL").select("page_id", "url", "host", key, "subtrees", *parts)
+    marks = open_pages.select(key, "host", F.explode("subtrees").alias("subtree"))
+    deleted = marks.join(found, ["host", "subtree"]).groupBy(key).agg(F.collect_set("subtree").alias("deleted"))
+    joined = open_pages.join(deleted, key, "left").select("page_id", "url", *parts, "deleted")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 128):
+            text = [left(*row) for row in zip(*(column.to_pylist() for column in batch.columns[2:]))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(text, pa.string())], ["page_id", "url", "text"])
+
+    out = settled.union(joined.mapInArrow(run, "page_id long, url string, text string"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def removed(pages: DataFrame, least_pages: int = 5, least_share: float = 0.05) -> DataFrame:
+    """host, n_pages, n_chars (of all text outside scripts and the like), by_template (of these, what template removal
+    alone takes), by_rules (what the rules take besides), main: what each step of the operator does to a host's text."""
+    rows, key = located(pages), new_name("row")
+    rows = rows.select("html", host(F.col("url")).alias("host"), row_key(rows).alias(key))
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 128):
+            out: dict[str, list] = {"whole": [], "subtrees": [], "parents": [], "hashes": [], "chars": [], "main": []}
+            for page in map(Page, texts(batch.column("html"))):
+                chars, main = [0] * len(page.nodes), [0] * len(page.nodes)
+                for text, node in page.blocks:
+                    chars[node.number] += len(text)
+                for text, node in main_blocks(page):
+                    main[node.number] += len(text)
+                parents = [node.parent.number if node.parent else -1 for node in page.nodes]
+                hashes = [node.hash if node.deletable else 0 for node in page.nodes]
+                for name, value in zip(out, (page.top.hash, sorted({*hashes} - {0}), parents, hashes, chars, main)):
+                    out[name].append(value)
+            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column(key), *map(pa.array, out.values())], ["host", key, *out])
+
+    schema = f"host string, {key} binary, whole long, subtrees array<long>, parents array<long>, hashes array<long>, chars array<long>, main array<long>"
+    parsed = written(rows.mapInArrow(sizes, schema), "sizes")
+    found = written(templates(parsed, least_pages, least_share), "templates")
+    deleted = parsed.select(key, "host", F.explode("subtrees").alias("subtree")).join(found, ["host", "subtree"]).groupBy(key).agg(F.collect_set("subtree").alias("deleted"))
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            out = []
+            for parents, hashes, chars, main, deleted in zip(*(column.to_pylist() for column in batch.columns[1:])):
+                gone, dead = set(deleted or ()), []
+                for parent, value in zip(parents, hashes):
+                    dead.append((parent >= 0 and dead[parent]) or (value != 0 and value in gone))
+                kept = sum(m for m, d in zip(main, dead) if not d)
+                by_template = sum(c for c, d in zip(chars, dead) if d)
+                out.append((sum(chars), by_template, sum(chars) - by_template - kept, kept))
+            yield pa.RecordBatch.from_arrays([batch.column("host"), *map(pa.array, zip(*out))], ["host", "n_chars", "by_template", "by_rules", "main"])
+
+    each = parsed.join(deleted, key, "left").select("host", "parents", "hashes", "chars", "main", "deleted")
+    each = each.mapInArrow(tally, "host string, n_chars long, by_template long, by_rules long, main long")
+    return each.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"), *(F.sum(c).alias(c) for c in ("n_chars", "by_template", "by_rules", "main")))

@@ -132,6 +132,34 @@ def test_html_templates(spark):
     assert extract(spark, shared, least_pages=5)[0] == "0 A passage that many articles quote"
 
 
+def test_html_rows_and_hosts(spark):
+    """page_ids that are null or repeat on other hosts lose only their own host's templates; repeated pages stay."""
+    page = lambda host, n, advert: (f"http://{host}/{n}", f"<div><p>{advert}</p></div><div><h2>Head {n}</h2><p>Own text {n}</p></div>")
+    rows = [(n, *page("a", n, "Buy our book, friends")) for n in range(6)] + [(n, *page("b", n, "Buy our book, friends" if n == 3 else f"Advert {n}")) for n in range(6)]
+    rows += [(None, *page("a", 7, "Buy our book, friends")), rows[0]]
+    df = spark.createDataFrame([(i, u, h, "x", "y") for i, u, h in rows], PAGES)
+    got = sorted(((r.page_id, r.url, r.text) for r in html_text.main_text(df).collect()), key=str)
+    own = lambda u, h: "Own" if u.startswith("http://a") else h
+    assert len(got) == len(rows) and got.count((0, "http://a/0", "Head 0 Own text 0")) == 2
+    assert {(i, u) for i, u, t in got if t.startswith(("Buy", "Advert"))} == {(i, u) for i, u, h in rows if own(u, h) != "Own"}
+
+
+def test_html_leaves_and_shares(spark):
+    """What recurs by itself in small blocks, or on a small share of a large host's pages, is no template."""
+    rows = [(n, f"http://big/{n}", f"<div><h2>References</h2><p>Own {n}</p><table><tr><td>Yes</td><td>{n}</td></tr></table></div><div>{'Seldom' if n < 6 else n}</div><section><p>Everywhere</p></section>") for n in range(200)]
+    got = extract(spark, rows)
+    assert all(got[n] == f"References Own {n} Yes {n} {'Seldom' if n < 6 else n}" for n in range(200))
+    shares = {r.host: r for r in html_text.removed(spark.createDataFrame([(i, u, h, "x", "y") for i, u, h in rows], PAGES)).collect()}
+    assert shares["big"].by_template == 200 * len("Everywhere") and shares["big"].by_rules == 0 and shares["big"].n_pages == 200
+    assert shares["big"].main == sum(len("".join(t.split())) + t.count("Own ") for t in got.values())
+
+
+def test_html_deep_and_long(spark):
+    deep = "<div><b>" * 60_000 + "core" + "</i></b></div>" * 60_000
+    got = extract(spark, [(1, "http://a/1", deep), (2, "http://a/2", "<p>word " * 200_000), (3, "http://a/3", "<article>" + "x " * 500_000)])
+    assert got[1] == "core" and got[2] == " ".join(["word"] * 200_000) and len(got[3]) == 999_999
+
+
 def brute_scan(text, threshold):
     best = {}
     for _, start, end in licenses.units(text):
