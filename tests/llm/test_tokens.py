@@ -54,6 +54,27 @@ def test_bpe(spark):
     assert [bytes(r.decoded) for r in bpe.decode(nothing, RANKS).collect()] == [b"", b"", b""]
 
 
+def test_bpe_of_long_pre_tokens():
+    """Single pre-tokens of up to a million bytes: blobs, runs, two letters. Seconds each, where the library takes them."""
+    rng = random.Random(9)
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    engine = bpe.Engine(RANKS, bpe.GPT_PATTERN)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(rng.choices(letters, k=100_000)), "".join(rng.choices(letters + letters.upper(), k=1_000_000)), "a" * 100_001, "=-" * 20_000, "ab" * 30_000 + "c"]
+    words += ["".join(rng.choices("aelstn", k=n)) for n in (63, 64, 65, 66, 500, 3000)] + ["é" * 5000, "=" * 1_000_000, "日本" * 2000]
+    for word in words:
+        flat, bounds = engine.encode([word])
+        assert bounds.tolist() == [0, len(flat)] and flat.tolist() == own.encode_ordinary(word)
+
+
+def test_every_token_encodes_to_itself():
+    """What contracting all pairs of smallest rank at once rests on."""
+    ranks = bpe.read_ranks(RANKS)
+    own = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+    assert all(own.encode_single_token(token) == rank for token, rank in ranks.items())
+    assert all(own._core_bpe.encode_single_piece(token) == [rank] for token, rank in ranks.items())
+
+
 @pytest.mark.parametrize("trial", range(40))
 def test_plan_fills_every_window(trial):
     rng = random.Random(trial)
