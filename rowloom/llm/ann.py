@@ -24,8 +24,8 @@ from rowloom.llm.tables import written
 
 #: Vectors that the partition and the classifier are fitted on at most: those with the smallest hashes of their id.
 SAMPLE = 8_192
-#: Rows a part should hold, parts at most, rows of a block at most.
-PART_ROWS, MOST_PARTS, BLOCK = 4_096, 256, 8_192
+#: Rows a part should hold, least and most parts, sampled vectors that a part needs, rows of a block at most.
+PART_ROWS, LEAST_PARTS, MOST_PARTS, PART_SAMPLE, BLOCK = 4_096, 8, 256, 60, 8_192
 #: Share of a sampled query's neighbours that routing must reach there.
 TARGET_RECALL = 0.96
 
@@ -115,13 +115,18 @@ def fit_classifier(x: np.ndarray, target: np.ndarray, hidden: int = 128, epochs:
     return Router(*weights)
 
 
-def fit(x: np.ndarray, rows: int, k: int, target_recall: float = TARGET_RECALL) -> Router | None:
-    """The router for an index of `rows` rows, fitted on sampled vectors; None where one part is enough. A quarter of
-    the sample is kept from the classifier's fit and settles how much probability a query must gather."""
-    parts = min(MOST_PARTS, max(1, rows // PART_ROWS))
-    levels = int(np.ceil(np.log2(parts)))
-    if levels == 0 or len(x) < 32 << levels:
-        return None
+def levels_of(rows: int, sampled: int) -> int:
+    """Halvings for an index of `rows` rows: parts of PART_ROWS, but no more than the sample can tell apart."""
+    wanted = min(MOST_PARTS, max(LEAST_PARTS, rows // PART_ROWS))
+    return max(0, int(np.floor(np.log2(max(1, min(wanted, sampled // PART_SAMPLE))))))
+
+
+def fit(x: np.ndarray, rows: int, k: int, target_recall: float = TARGET_RECALL) -> Router:
+    """The router for an index of `rows` rows, fitted on sampled vectors. A quarter of the sample is kept from the
+    classifier's fit and settles how much probability a query must gather."""
+    levels = levels_of(rows, len(x))
+    if levels == 0:  # a handful of vectors: one part has them all
+        return Router(np.zeros((x.shape[1], 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
     k = min(k, len(x) - 1)
     graph = neighbour_graph(x, k)
     part = balanced_parts(graph, levels)
@@ -143,42 +148,45 @@ def fit(x: np.ndarray, rows: int, k: int, target_recall: float = TARGET_RECALL)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, vector (doubles): rows that take part. Null ids, null, empty or zero vectors and those with null, NaN or
+    """vec_id, vector (floats where the embeddings are, else doubles): rows that take part. Null ids, null, empty or zero vectors and those with null, NaN or
     infinite components do not."""
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
+    kind = "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("vector"))
     return rows.where(F.col("vec_id").isNotNull() & finite & F.exists("vector", lambda v: v != 0))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1)
+    return flat.reshape(len(column), -1).astype(float)
 
 
-def _index(rows: DataFrame, router: Router | None) -> DataFrame:
+def _index(rows: DataFrame, router: Router) -> DataFrame:
     """vec_id, vector, part: each row in its most probable part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 4096):
-            x = _matrix(batch.column("vector"))
-            part = router.probabilities(x).argmax(axis=1) if router else np.zeros(len(x))
+            part = router.probabilities(_matrix(batch.column("vector"))).argmax(axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part.astype(np.int32))], ["vec_id", "vector", "part"])
 
-    return rows.mapInArrow(run, "vec_id long, vector array<double>, part int")
+    return rows.mapInArrow(run, f"vec_id long, vector {_kind(rows)}, part int")
+
+
+def _kind(rows: DataFrame) -> str:
+    return rows.schema["vector"].dataType.simpleString()
 
 
-def _routed(queries: DataFrame, router: Router | None, rows: np.ndarray, k: int) -> DataFrame:
+def _routed(queries: DataFrame, router: Router, rows: np.ndarray, k: int) -> DataFrame:
     """vec_id, vector, part: each query in each part that it is routed to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 1024):
-            x = _matrix(batch.column("vector"))
-            routes = router.routes(x, rows, k + 1) if router else [np.zeros(1, np.int64)] * len(x)
-            take = pa.array(np.repeat(np.arange(len(x)), [len(r) for r in routes]))
+            routes = router.routes(_matrix(batch.column("vector")), rows, k + 1)
+            take = pa.array(np.repeat(np.arange(len(routes)), [len(r) for r in routes]))
             part = pa.array(np.concatenate(routes).astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(take), batch.column("vector").take(take), part], ["vec_id", "vector", "part"])
 
-    return queries.mapInArrow(run, "vec_id long, vector array<double>, part int")
+    return queries.mapInArrow(run, f"vec_id long, vector {_kind(queries)}, part int")
 
 
 def best_of_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
@@ -232,13 +240,13 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, sample: int = SAMPLE, tar
     rows = usable(vectors)
     drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow().column("vector").combine_chunks()
     lengths = drawn.value_lengths().to_numpy(zero_copy_only=False)
-    length = int(np.bincount(lengths).argmax()) if len(drawn) else 0
+    length = int(np.bincount(lengths).argmax()) if len(drawn) else 1
     rows = rows.where(F.size("vector") == length)
-    x = _matrix(drawn.filter(pa.array(lengths == length))) if length else None
-    router = fit(x, rows.count(), k, target_recall) if length else None
+    x = _matrix(drawn.filter(pa.array(lengths == length))) if len(drawn) else np.zeros((0, length))
+    router = fit(x, rows.count(), k, target_recall)
     index = written(_index(rows, router), "vector-index")
     by_part = {row["part"]: row["n"] for row in index.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    parts = np.array([by_part.get(i, 0) for i in range(len(router.b2) if router else 1)])
+    parts = np.array([by_part.get(i, 0) for i in range(len(router.b2))])
     blocks = F.array(*[F.lit(max(1, -(-int(n) // BLOCK))) for n in parts])
     held = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.get(blocks, F.col("part")).cast("long")).cast("int"))
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))  # one query per id

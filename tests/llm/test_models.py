@@ -92,6 +92,21 @@ def test_nearest_recall(spark, monkeypatch):
     assert np.mean(recall) >= 0.9 and len(recall) == 40
 
 
+def test_nearest_routes_at_every_size(spark):
+    """There is a router for a small table too; what it leaves out is measured against brute force."""
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
+    table = ann.usable(vectors).toPandas()
+    x, ids = np.stack(table.vector).astype(float), table.vec_id.values
+    assert ann.levels_of(len(x), len(x)) == 3 and ann.levels_of(70, 70) == 0 and ann.levels_of(10**9, 8192) == 7
+    got = ann.nearest(vectors, F.col("vec_id") % 20 == 0).toPandas()
+    asked = np.flatnonzero(ids % 20 == 0)
+    near = x[asked] @ x.T
+    near[np.arange(len(asked)), asked] = -np.inf
+    wanted = {int(ids[q]): set(ids[np.argsort(-row)[:20]].tolist()) for q, row in zip(asked, near)}
+    recall = [len(wanted[q] & set(rows.vec_id)) / 20 for q, rows in got.groupby("query_id")]
+    assert len(recall) == len(wanted) and 0.9 <= np.mean(recall) < 1  # below 1: parts were left out
+
+
 def test_parts_are_balanced():
     x = np.random.default_rng(0).standard_normal((512, 6))
     part = ann.balanced_parts(ann.neighbour_graph(x, 8), 3)
