@@ -1,67 +1,71 @@
-"""License scans: text units compared to licence templates by Dice coefficient over word bigrams.
+"""License scans: texts compared to licence templates by Dice coefficient over word bigrams.
 
-Units of a text are the whole, its paragraphs and its lines. Two bounds spare most comparisons without losing any: the
-sizes of two bigram sets with a Dice coefficient of t are within a factor of (2 - t) / t, and a unit at t shares at
-least t / (2 - t) of a template's bigrams, so it holds a word of every set of words that touches more than the rest.
+A licence may stand anywhere in a text: in a sentence, over several paragraphs, between two pieces of code. So the units
+compared to a template are all runs of words of a size that can reach the threshold, and the best of them is found
+exactly. Three bounds spare most of the work without losing any: a unit at the threshold t shares at least t / (2 - t) of
+a template's bigrams, so the text holds a word of every set of words that touches more than the rest; the text's own
+count of shared bigrams must come to that; and a run's length lies within a factor of (2 - t) / t of the template's.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from importlib import resources
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.batches import sliced, texts
 
-_MIT = (
-    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
-    '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
-    "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
-    "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
-    'substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING '
-    "BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
-    "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
-    "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
-)
-_ISC = (
-    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
-    'the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS '
-    "ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE "
-    "AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA "
-    "OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
-    "PERFORMANCE OF THIS SOFTWARE."
-)
+
+def wordings() -> list[tuple[str, str]]:
+    """(licence, text) of the full licence texts that come with the package, a file for each, named by its SPDX
+    identifier (public wordings: fixed values)."""
+    files = sorted((resources.files(__package__) / "wordings").iterdir(), key=lambda file: file.name)
+    return [(file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")) for file in files if file.name.endswith(".txt")]
+
+
+_FULL = dict(wordings())
+_MIT = _FULL["MIT"]
+
+# Public wordings of file headers and notices: fixed values.
 _APACHE_HEADER = (
     'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You '
     "may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
     'writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
     "either express or implied. See the License for the specific language governing permissions and limitations under the License."
 )
-_GPL_HEADER = (
-    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
-    "by the Free Software Foundation, either version {} of the License, or (at your option) any later version. This program is distributed "
-    "in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
-    "PARTICULAR PURPOSE. See the GNU General Public License for more details."
+_GNU_HEADER = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the {0} as published by the Free Software "
+    "Foundation, either version {1} of the License, or (at your option) any later version. This program is distributed in the hope that it "
+    "will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. "
+    "See the {0} for more details."
+)
+_MPL_HEADER = (
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+    "file, You can obtain one at https://mozilla.org/MPL/2.0/."
 )
 
-#: (licence, wording) of texts and of the one-line notices that stand for them. Public licence wordings: fixed values.
+#: (licence, wording) of full texts, file headers and one-line notices.
 TEMPLATES = [
-    ("MIT", _MIT),
+    *_FULL.items(),
+    ("Apache-2.0", _APACHE_HEADER),
+    ("GPL-2.0", _GNU_HEADER.format("GNU General Public License", 2)),
+    ("GPL-3.0", _GNU_HEADER.format("GNU General Public License", 3)),
+    ("LGPL-2.1", _GNU_HEADER.format("GNU Lesser General Public License", 2.1)),
+    ("LGPL-3.0", _GNU_HEADER.format("GNU Lesser General Public License", 3)),
+    ("AGPL-3.0", _GNU_HEADER.format("GNU Affero General Public License", 3)),
+    ("MPL-2.0", _MPL_HEADER),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "This project is licensed under the terms of the MIT license."),
-    ("ISC", _ISC),
-    ("Apache-2.0", _APACHE_HEADER),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Released under the Apache License, Version 2.0."),
-    ("GPL-2.0", _GPL_HEADER.format(2)),
-    ("GPL-3.0", _GPL_HEADER.format(3)),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-2.0", "Licensed under the GNU General Public License, version 2."),
@@ -80,50 +84,45 @@ TEMPLATES = [
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
 ]
 
-_WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+_WORD = re.compile(r"[A-Za-z0-9]+(?:\.[0-9]+)*")
+
+
+def words(text: str) -> list[str]:
+    """The normalised words: runs of ASCII letters and digits in lower case, dotted numbers whole."""
+    return [word.lower() for word in _WORD.findall(text)]
 
 
 def bigrams(text: str) -> frozenset[tuple[str, str]]:
-    """Pairs of neighbouring words of the normalised text: lower case, letters and digits with dotted numbers whole."""
-    words = _WORD.findall(text.lower())
-    return frozenset(zip(words, words[1:]))
+    """Pairs of neighbouring words."""
+    found = words(text)
+    return frozenset(zip(found, found[1:]))
 
 
 def dice(a: frozenset, b: frozenset) -> float:
     return 2 * len(a & b) / (len(a) + len(b)) if a or b else 0.0
 
 
-def units(text: str) -> Iterator[tuple[str, int, int]]:
-    """(kind, start, end) of the whole text, its paragraphs and its lines, in code points. A unit that is no smaller
-    than the one that holds it is left out."""
-    yield "text", 0, len(text)
-    start = 0
-    for block in re.split(r"(\n\s*\n)", text)[::2] if "\n" in text else ():
-        start = text.index(block, start)
-        if block.strip() and len(block) < len(text):
-            yield "paragraph", start, start + len(block)
-        at = start
-        for line in block.split("\n") if "\n" in block else ():
-            if line.strip():
-                yield "line", at, at + len(line)
-            at += len(line) + 1
-        start += len(block)
-
-
 @dataclass(frozen=True)
 class Hit:
     license: str
     score: float
-    unit: str
     start: int
     end: int
 
+    def order(self) -> tuple:
+        """Best first: the highest score, then the shortest run, then the first one, then by name."""
+        return -self.score, self.end - self.start, self.start, self.license
+
 
 class Scanner:
     def __init__(self, threshold: float, templates: list[tuple[str, str]]):
-        made = sorted(((len(b), name, b) for name, wording in templates if (b := bigrams(wording))), key=lambda x: x[0])
-        self.threshold, self.sizes = threshold, [size for size, _, _ in made]
-        self.templates = [(name, b) for _, name, b in made]
+        self.threshold, self.factor = threshold, (2 - threshold) / threshold
+        self.templates = [(name, pairs) for name, wording in templates if (pairs := bigrams(wording))]
+        self.of: dict[tuple[str, str], list[int]] = {}
+        for number, (_, pairs) in enumerate(self.templates):
+            for pair in pairs:
+                self.of.setdefault(pair, []).append(number)
+        self.sizes = np.array([len(pairs) for _, pairs in self.templates], np.int64)
         self.cover = ahocorasick.Automaton()
         for _, pairs in self.templates:
             for word in self._cover(pairs):
@@ -132,8 +131,8 @@ class Scanner:
             self.cover.make_automaton()
 
     def _cover(self, pairs: frozenset) -> list[str]:
-        """Words one of which any unit at the threshold must hold: fewer bigrams avoid them all than such a unit shares."""
-        needed, avoiding, chosen = self.threshold / (2 - self.threshold) * len(pairs), set(pairs), []
+        """Words one of which any run at the threshold must hold: fewer bigrams avoid them all than such a run shares."""
+        needed, avoiding, chosen = len(pairs) / self.factor, set(pairs), []
         for word in sorted({w for pair in pairs for w in pair}, key=lambda w: (-len(w), w)):
             if len(avoiding) < needed:
                 break
@@ -141,45 +140,85 @@ class Scanner:
             avoiding = {pair for pair in avoiding if word not in pair}
         return chosen
 
-    def possible(self, lowered: str) -> bool:
-        return len(self.cover) > 0 and next(self.cover.iter(lowered), None) is not None
+    def possible(self, text: str) -> bool:
+        return len(self.cover) > 0 and next(self.cover.iter(text.lower()), None) is not None
+
+    def best(self, text: str) -> dict[str, Hit]:
+        """The best run of words for each licence that has one at the threshold."""
+        if not self.possible(text):
+            return {}
+        spans = [m.span() for m in _WORD.finditer(text)]
+        found = [text[a:b].lower() for a, b in spans]
+        pairs = list(zip(found, found[1:]))
+        shared: dict[int, int] = {}
+        for pair in set(pairs):
+            for number in self.of.get(pair, ()):
+                shared[number] = shared.get(number, 0) + 1
+        wanted = [number for number, n in shared.items() if n * self.factor >= self.sizes[number] - 1e-9]
+        if not wanted:
+            return {}
+        last: dict[tuple[str, str], int] = {}
+        previous = np.empty(len(pairs), np.int64)  # where each bigram was before
+        for i, pair in enumerate(pairs):
+            previous[i] = last.get(pair, -1)
+            last[pair] = i
+        best: dict[str, Hit] = {}
+        for number in sorted(wanted):
+            name, template = self.templates[number]
+            run = self._best_run(np.fromiter(map(template.__contains__, pairs), bool, len(pairs)), previous, len(template))
+            if run:
+                hit = Hit(name, run[0], spans[run[1]][0], spans[run[2] + 1][1])
+                best[name] = min(hit, best.get(name, hit), key=Hit.order)
+        return best
+
+    def _best_run(self, shared: np.ndarray, previous: np.ndarray, size: int) -> tuple[float, int, int] | None:
+        """(score, first bigram, last one) of the best run of bigrams, of (2 - t) / t times the template's size at most.
+        It begins with a shared bigram, as a run without its first other one is no worse; runs from where too few follow
+        to beat the best so far are left out."""
+        most = int(size * self.factor + 1e-9)
+        before = np.concatenate([[0], np.cumsum(shared)])
+        starts = np.flatnonzero(shared)
+        follow = np.minimum(before[np.minimum(starts + most, len(shared))] - before[starts], size)
+        bound = 2 * follow / (follow + size)
+        best, found = self.threshold - 1e-12, None
+        for k in np.lexsort((starts, -bound)).tolist():
+            i = int(starts[k])
+            if bound[k] < best or (found and best >= 1 and found[2] - found[1] + 1 == size):
+                break
+            part = slice(i, i + most)
+            new = previous[part] < i
+            common = np.cumsum(new & shared[part])
+            score = 2 * common / (np.cumsum(new) + size)
+            j = int(score.argmax())
+            if score[j] > best or (found and score[j] == best and (j, i) < (found[2] - found[1], found[1])):
+                best, found = float(score[j]), (float(score[j]), i, i + j)
+        return found
 
     def scan(self, text: str) -> list[Hit]:
-        """The best unit for each licence found, best first: the highest score, then the smallest unit, then the first."""
-        if not self.possible(text.lower()):
-            return []
-        best: dict[str, Hit] = {}
-        factor = (2 - self.threshold) / self.threshold
-        for kind, start, end in units(text):
-            part = text[start:end]
-            if not self.possible(part.lower()):
-                continue
-            pairs = bigrams(part)
-            low, high = bisect_left(self.sizes, len(pairs) / factor - 1e-9), bisect_right(self.sizes, len(pairs) * factor + 1e-9)
-            for name, wanted in self.templates[low:high]:
-                score = dice(pairs, wanted)
-                if score >= self.threshold:
-                    hit, old = Hit(name, score, kind, start, end), best.get(name)
-                    if old is None or (-hit.score, hit.end - hit.start, hit.start) < (-old.score, old.end - old.start, old.start):
-                        best[name] = hit
-        return sorted(best.values(), key=lambda h: (-h.score, h.license))
+        """The licences found, best first. Of hits that overlap only the best counts: a wording that is close to a
+        template is so to its neighbours' too."""
+        kept: list[Hit] = []
+        for hit in sorted(self.best(text).values(), key=Hit.order):
+            if all(hit.end <= other.start or other.end <= hit.start for other in kept):
+                kept.append(hit)
+        return kept
 
 
-HITS = "array<struct<license: string, score: double, unit: string, start: int, end: int>>"
+HITS = "array<struct<license: string, score: double, start: int, end: int>>"
 
 
 def license_scan(docs: DataFrame, threshold: float = 0.8, templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """One row per input row: doc_id, license (the best match, null if none), score (its Dice coefficient, else 0),
-    n_licenses, hits (the best unit of each licence, best first; positions in code points).
+    n_licenses, hits (the best run of each licence, best first; positions in code points).
 
-    Of equal scores the licence that sorts first comes first. A null or empty text has no hit, nor has a unit of one
-    word. Null doc_ids and repeated rows are rows like others; an empty table gives an empty result. Columns other than
-    doc_id and text are not looked at."""
-    templates = TEMPLATES if templates is None else templates
+    Of equal scores the shorter run comes first, then the earlier one, then the licence that sorts first. A null or empty
+    text has no hit, nor has one of a single word. Null doc_ids and repeated rows are rows like others; an empty table
+    gives an empty result. Columns other than doc_id and text are not looked at."""
+    sent = docs.sparkSession.sparkContext.broadcast(TEMPLATES if templates is None else templates)  # some 250 KB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(threshold, templates)
-        kind = pa.list_(pa.struct([("license", pa.string()), ("score", pa.float64()), ("unit", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+        scanner = Scanner(threshold, sent.value)
+        kind = pa.list_(pa.struct([("license", pa.string()), ("score", pa.float64()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in sliced(batches):
             found = [[vars(hit) for hit in scanner.scan(text)] for text in texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, kind)], ["doc_id", "hits"])

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -175,29 +176,56 @@ def test_html_deep_and_long(spark):
     assert got[1] == "core" and got[2] == " ".join(["word"] * 200_000) and len(got[3]) == 999_999
 
 
-def brute_scan(text, threshold):
-    best = {}
-    for _, start, end in licenses.units(text):
-        pairs = licenses.bigrams(text[start:end])
-        for name, wording in licenses.TEMPLATES:
-            score = licenses.dice(pairs, licenses.bigrams(wording))
-            if score >= threshold:
-                best[name] = max(best.get(name, 0), score)
+def brute_scan(text, threshold, templates):
+    """The best Dice coefficient of each licence over all runs of words, of a size that may reach the threshold."""
+    split = lambda t: re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", t.lower())
+    found, best = split(text), {}
+    for name, wording in templates:
+        w = split(wording)
+        wanted = set(zip(w, w[1:]))
+        most = int(len(wanted) * (2 - threshold) / threshold + 1e-9)
+        for i in range(len(found)):
+            for j in range(i + 2, min(len(found), i + 1 + most) + 1):
+                run = set(zip(found[i:j], found[i + 1 : j]))
+                score = 2 * len(run & wanted) / (len(run) + len(wanted))
+                if score >= threshold:
+                    best[name] = max(best.get(name, 0), score)
     return best
 
 
+def test_license_runs_against_brute_force():
+    rng, vocabulary = random.Random(3), ["the", "license", "licensed", "under", "version", "public", "general", "2.0", "mit", "cc", "by", "software", "gnu"]
+    short = [(n, w) for n, w in licenses.TEMPLATES if len(w) < 200]
+    made = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(3, 25))) for _ in range(150)]
+    made += [". ".join(rng.choice(short)[1] for _ in range(2)) + rng.choice([" and more", "\n\n2.0"]) for _ in range(60)] + ["under the license under the license version 2.0 " * 8]
+    for threshold in (0.8, 0.5):
+        scanner = licenses.Scanner(threshold, short)
+        for text in made:
+            assert {n: h.score for n, h in scanner.best(text).items()} == brute_scan(text, threshold, short)
+
+
 def test_license_scan(spark):
-    rng, words = random.Random(3), ["the", "license", "licensed", "under", "version", "public", "general", "2.0", "mit", "cc", "by", "software", "gnu"]
-    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(3, 15))) for _ in range(150)]
-    texts += ["Some prose.\nLicensed under the Apache License, Version 2.0.\nMore.", "x\n\n" + licenses._MIT.replace(". ", ".\n") + "\n\ny", "Licensed under CC BY-NC 2.5.", None, "", "one", "Released under the MIT License.\n" * 300]
+    code = "\n".join(f"def f{i}(x):\n    return x * {i}  # step {i}" for i in range(400))
+    bsd = [part for part in dict(licenses.wordings())["BSD-3-Clause"].split("\n\n")]
+    texts = ["Some prose.\nLicensed under the Apache License, Version 2.0.\nMore.", "x\n\n" + licenses._MIT.replace(". ", ".\n") + "\n\ny", "Licensed under CC BY-NC 2.5.", None, "", "one", "Released under the MIT License.\n" * 300]
+    texts += [
+        "/*\nCopyright (c) 2021 Foo\n\n" + licenses._MIT + "*/\n" + code,
+        "Copyright 2021 Foo. Licensed under CC BY 4.0. All rights reserved by the authors.",
+        "# " + "\n# ".join("\n\n".join(bsd).split("\n")) + "\n" + code,
+        "This file is part of the project. Licensed under the Apache License, Version 2.0. See the file NOTICE for details on that and on others.",
+        dict(licenses.wordings())["GPL-3.0"], code, "a license text is no software license, however public",
+        licenses._MIT + code + licenses._APACHE_HEADER,
+    ]
     df = spark.createDataFrame([(i, t, "a", 1.0) for i, t in enumerate(texts)], "doc_id long, text string, license string, score double")
-    for threshold in (0.8, 0.5):
-        got = {r.doc_id: {h.license: h.score for h in r.hits} for r in licenses.license_scan(df, threshold).collect()}
-        assert got == {i: brute_scan(t or "", threshold) for i, t in enumerate(texts)}
-    named = {r.doc_id: r for r in licenses.license_scan(df).collect()}
-    apache = named[150]
-    assert apache.license == "Apache-2.0" and texts[150][apache.hits[0].start : apache.hits[0].end].startswith("Licensed under the Apache")
-    assert named[151].license == "MIT" and named[152].license in ("CC-BY-NC-3.0", "CC-BY-NC-4.0") and named[153].license is None
+    got = {r.doc_id: r for r in licenses.license_scan(df).collect()}
+    assert [got[i].license for i in range(len(texts))] == [
+        "Apache-2.0", "MIT", "CC-BY-NC-4.0" if got[2].license == "CC-BY-NC-4.0" else "CC-BY-NC-3.0", None, None, None, "MIT", "MIT", "CC-BY-4.0", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", None, None,
+        got[14].license]
+    assert {h.license for h in got[14].hits} == {"MIT", "Apache-2.0"} and got[14].n_licenses == 2
+    for i in (0, 7, 8, 9, 10, 11):
+        hit = got[i].hits[0]
+        assert got[i].n_licenses == 1 and got[i].score == hit.score > 0.95 and licenses.dice(licenses.bigrams(texts[i][hit.start : hit.end]), licenses.bigrams(texts[i][hit.start : hit.end])) == 1
+    assert texts[8][got[8].hits[0].start : got[8].hits[0].end] == "Licensed under CC BY 4.0"
     assert licenses.license_scan(df.limit(0)).count() == 0
 
 
