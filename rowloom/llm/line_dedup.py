@@ -1,8 +1,9 @@
 """Line deduplication across documents.
 
-Lines are normalised to keys and hashed. Hashes are made distinct within each document before they are exploded, counted
-over documents with map-side partial sums, and those over the threshold are joined back. Each text then drops its lines
-by hash and puts the rest together in their order.
+Lines are normalised to keys and hashed once, and the hashes written. They are made distinct within each document before
+they are exploded, counted over documents with map-side partial sums, and those over the threshold are joined back to the
+lines by a filter of their own, so that other lines are not shuffled. What comes out are positions to drop. Only the texts
+that have some are moved, split and put together again by position.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.llm.rows import filter_of, located, new_name, passing, row_key
 from rowloom.llm.tables import written
 
 #: White space stripped at both ends of a line.
@@ -50,21 +52,20 @@ def line_dedup(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) -> D
     one empty line. Rows of one doc_id count as one document; a row with a null doc_id counts as no document and loses
     its common lines to the others. An empty table gives an empty result. Columns other than doc_id and text are not
     looked at."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    hashed = rows.select("doc_id", F.explode(F.array_distinct(F.filter(_hashes(F.col("text"), least_chars), lambda h: h.isNotNull()))).alias("h"))
-    pairs = hashed.select("doc_id", "h.h1", "h.h2")
-    per_doc = pairs.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one"))  # rows that repeat a doc_id count once
-    common = per_doc.groupBy("h1", "h2").agg(F.count("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"))
+    docs, key = located(docs), new_name("row")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), row_key(docs).alias(key))
+    hashed = written(rows.select(key, "doc_id", _hashes(F.col("text"), least_chars).alias("hashes")), "line-hashes")
+    per_doc = hashed.select("doc_id", F.explode(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull()))).alias("h")).distinct()  # rows that repeat a doc_id count once
+    common = per_doc.groupBy("h").agg(F.count("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"))
     # a hot line is one key of the join below; as its other side is a table of its own, adaptive execution can split it
     common = written(common.where(F.col("n_docs") >= least_docs), "common-lines")
-    lost = pairs.join(common, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-    by_doc = lost.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("lost"))
-    lines = F.arrays_zip(F.split("text", "\n", -1).alias("line"), _hashes(F.col("text"), least_chars).alias("hash"))
-    joined = rows.join(by_doc.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left")
-    kept = F.when(F.col("lost").isNull(), F.split("text", "\n", -1)).otherwise(
-        F.transform(F.filter(lines, lambda x: x["hash"].isNull() | ~F.array_contains(F.col("lost"), x["hash"])), lambda x: x["line"])
-    )
-    n_lines = F.size(F.split("text", "\n", -1)).cast("long")
-    return joined.select("doc_id", n_lines.alias("n_lines"), kept.alias("kept")).select(
-        "doc_id", "n_lines", (F.col("n_lines") - F.size("kept")).alias("n_dropped"), F.array_join("kept", "\n").alias("text"))
+    lines = hashed.select(key, "doc_id", F.posexplode("hashes").alias("pos", "h")).where("h IS NOT NULL")
+    lost = passing(lines, "h", filter_of(common, "h")).join(common, "h").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    gone = written(lost.groupBy(key).agg(F.collect_list("pos").alias("gone")), "lost-lines")
+    words, split = filter_of(gone, key), F.split("text", "\n", -1)
+    whole = passing(rows, key, words, others=True).select("doc_id", F.size(split).cast("long").alias("n_lines"), F.lit(0).alias("n_dropped"), "text")
+    parts = passing(rows, key, words).select(key, "doc_id", split.alias("lines")).join(gone, key, "left")
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("gone", F.array().cast("array<int>")))
+    kept = F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")
+    cut = parts.select("doc_id", F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size(stay)).alias("n_dropped"), kept.alias("text"))
+    return whole.unionByName(cut)
