@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,19 +99,36 @@ def answer_items(df: DataFrame, answer: str, *ids: str) -> DataFrame:
     return rows.where(_is_object(F.col("item")) & is_json(F.col("item")))
 
 
-def answers_table(df: DataFrame, answer: str, *ids: str, most_columns: int = 500) -> DataFrame:
-    """answer_items with a text column for each key that occurs, in order of first appearance. Two passes: the keys are
-    gathered first; more than most_columns of them is an error. The parsed items are kept between the passes, on disk
-    where memory is short."""
-    items = answer_items(df, answer, *ids).select(*ids, "pos", F.from_json("item", _MAP).alias("fields")).persist(StorageLevel.MEMORY_AND_DISK)
-    keys = (
-        items.select(*ids, "pos", F.posexplode(F.map_keys("fields")).alias("n", "key"))
-        .groupBy("key").agg(F.min(F.struct(*ids, "pos", "n")).alias("first"))
-        .orderBy("first").limit(most_columns + 1).collect()
-    )
-    if len(keys) > most_columns:
-        raise ValueError(f"more than {most_columns} keys")
-    return items.select(*ids, "pos", *(F.element_at("fields", row["key"]).alias(row["key"]) for row in keys))
+def answers_dropped(df: DataFrame, answer: str) -> DataFrame:
+    """One row (n_answers, n_unread, n_items, n_dropped): answers, those that are no JSON object or array, items of the
+    others, and those of them that are no object."""
+    from rowloom.functions.text import fenced_json
+
+    body = F.trim(fenced_json(F.col(answer)))
+    valid = F.when(is_json(body), body)
+    items = F.when(_is_array(valid), F.from_json(valid, "array<string>")).when(_is_object(valid), F.array(valid))
+    kept = F.size(F.filter("items", lambda item: _is_object(item) & is_json(item)))
+    rows = df.select(items.alias("items")).select("items", F.coalesce(F.size("items"), F.lit(0)).alias("n"), F.coalesce(kept, F.lit(0)).alias("kept"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    unread = F.col("items").isNull()
+    return rows.agg(F.count(F.lit(1)).alias("n_answers"), F.count_if(unread).alias("n_unread"), total(F.when(~unread, F.col("n"))).alias("n_items"), total(F.when(~unread, F.col("n") - F.col("kept"))).alias("n_dropped"))
+
+
+def answers_table(df: DataFrame, answer: str, *ids: str, keys: list[str] | None = None, most_columns: int = 500) -> DataFrame:
+    """answer_items with a text column for each of the keys; a key that an item lacks is null. Without keys, for each one
+    that occurs, in order of first appearance, which takes a pass of its own over the answers; more than most_columns of
+    them is an error."""
+    items = answer_items(df, answer, *ids).select(*ids, "pos", F.from_json("item", _MAP).alias("fields"))
+    if keys is None:
+        rows = (
+            items.select(*ids, "pos", F.posexplode(F.map_keys("fields")).alias("n", "key"))
+            .groupBy("key").agg(F.min(F.struct(*ids, "pos", "n")).alias("first"))
+            .orderBy("first").limit(most_columns + 1).collect()
+        )
+        if len(rows) > most_columns:
+            raise ValueError(f"more than {most_columns} keys")
+        keys = [row["key"] for row in rows]
+    return items.select(*ids, "pos", *(F.element_at("fields", key).alias(key) for key in keys))
 
 
 def sections(df: DataFrame, column: str, *ids: str) -> DataFrame:

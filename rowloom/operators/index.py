@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowloom.sources.shared import reused
 
-def dense_index(df: DataFrame, *order: Column | str, name: str = "rn", buckets: int = 64) -> DataFrame:
+
+def dense_index(df: DataFrame, *order: Column | str, name: str = "rn", buckets: int | None = None) -> DataFrame:
     """df with row numbers from 1 in the given order, without a window over all rows in one task.
 
-    Rows are ranged over `buckets` by the order's first column, numbered within their bucket, and moved on by the sizes
-    of the buckets before, of which there are `buckets` at most. `order` has to settle ties. The first column must not
-    hold one value in most rows; where it may, add a bucketing column ahead of it."""
+    Rows are ranged over `buckets` by all columns of the order, numbered within their bucket, and moved on by the sizes of
+    the buckets before, of which there are `buckets` at most: by default the session's number of shuffle partitions,
+    which is set to suit the input, and 64 at least. `order` has to settle ties; so a value that most rows hold in its
+    first columns is spread over buckets by the others."""
+    buckets = buckets or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     columns = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = df.repartitionByRange(buckets, *columns).withColumn("_bucket", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = reused(df.repartitionByRange(buckets, *columns).withColumn("_bucket", F.spark_partition_id()))
     sizes = ranged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.select(F.col("_bucket").alias("_of"), (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_before"))
     own = F.row_number().over(Window.partitionBy("_bucket").orderBy(*columns))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.operators.index import first_by
@@ -115,7 +117,7 @@ def kind_of_name(name: Column, rules: list[tuple[str, str]]) -> Column:
     """The value of the first rule whose word is in the name, upper and lower case alike; null without one."""
     made = F.when(F.lit(False), F.lit(None).cast("string"))
     for word, kind in rules:
-        made = made.when(F.lower(name).contains(word), kind)
+        made = made.when(F.lower(name).contains(word.lower()), kind)
     return made
 
 
@@ -125,7 +127,16 @@ def media_route(text: Column) -> Column:
 
 
 def keyword_split(c: Column, keywords: list[str]) -> tuple[Column, Column]:
-    """(`keyword`, `none` or `no text`; the text without the keywords, white space collapsed)."""
-    any_of = r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(sorted(keywords, key=lambda k: (-len(k), k))) + r")(?![\p{L}\p{N}])"
+    """(`keyword`, `none` or `no text`; the text without the keywords, white space collapsed). Keywords are plain text,
+    found as whole words; of two that begin alike the longer one is tried first. Without any, no text has one."""
+    words = "|".join(map(re.escape, sorted(filter(None, keywords), key=lambda k: (-len(k), k)))) or "$.^"
+    any_of = r"(?iu)(?<![\p{L}\p{N}])(?:" + words + r")(?![\p{L}\p{N}])"
     group = F.when(c.isNull(), "no text").when(c.rlike(any_of), "keyword").otherwise("none")
     return group, F.trim(F.regexp_replace(F.regexp_replace(c, any_of, ""), r"\s+", " "))
+
+
+def keyword_shares(df: DataFrame, column: str, keywords: list[str]) -> DataFrame:
+    """(keyword_group, n, percent) of the groups of keyword_split: percent of all rows, to two places."""
+    counts = df.groupBy(keyword_split(F.col(column), keywords)[0].alias("keyword_group")).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(1)))  # three rows at most
+    return counts.select("keyword_group", "n", F.round(F.col("n") * 100.0 / total, 2).alias("percent"))

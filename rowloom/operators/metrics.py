@@ -61,6 +61,11 @@ def status_tally(df: DataFrame, status: str) -> DataFrame:
     return df.groupBy(status).agg(F.count(F.lit(1)).alias("n"))
 
 
+def failures(df: DataFrame, status: str, good: str = "SUCCESS") -> DataFrame:
+    """The rows whose status does not begin with `good`, a null one among them."""
+    return df.where(~F.coalesce(F.col(status).startswith(good), F.lit(False)))
+
+
 def comment_status(n: Column, parts: Column, error: Column, disabled: Column) -> Column:
     """The outcome of gathering a post's comments, as a status line."""
     return (
@@ -74,3 +79,8 @@ def comment_status(n: Column, parts: Column, error: Column, disabled: Column) ->
 def long_calls(df: DataFrame, called_at: str, seconds: Column, over: int = 60) -> DataFrame:
     """Calls of more than `over` seconds with their day."""
     return df.withColumn("seconds", seconds).where(F.col("seconds") > over).withColumn("day", F.to_date(called_at))
+
+
+def calls_per_day(calls: DataFrame) -> DataFrame:
+    """(day, n_calls, seconds) of long_calls."""
+    return calls.groupBy("day").agg(F.count(F.lit(1)).alias("n_calls"), F.sum("seconds").alias("seconds"))

@@ -77,8 +77,15 @@ def paired_names(videos: DataFrame, audio: DataFrame, folder: str) -> DataFrame:
     """(folder, base, first_role, second_role): for each video of a folder the audio files whose name contains its base
     name, one for each role, both needed. HV is tested before mentor; the last name of a role counts.
 
-    videos: folder, base. audio: folder, name. The folder is the join's key, containment its further condition."""
-    found = videos.join(audio, folder).where(F.col("name").contains(F.col("base")))
+    videos: folder, base. audio: folder, name. A name is cut into its substrings of the lengths that bases have (a name is
+    short, so are they few), and these are joined to the bases by equality, so that no folder is compared all against
+    all. An empty base is in every name of its folder and pairs nothing."""
+    lengths = sorted(row[0] for row in videos.select(F.length("base").alias("n")).where("n > 0").distinct().collect())
+    none, size = F.array().cast("array<string>"), F.length("name")
+    cut = lambda n: F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda at: F.substring(F.col("name"), at, F.lit(n)))).otherwise(none)
+    cuts = F.flatten(F.array(*map(cut, lengths))) if lengths else none
+    parts = audio.select(folder, "name", F.explode(F.array_distinct(cuts)).alias("base"))
+    found = videos.join(parts, [folder, "base"])
     role = F.when(F.col("name").contains("HV"), "first").when(F.col("name").contains("mentor"), "second")
     rows = found.withColumn("_role", role).groupBy(folder, "base").agg(
         F.max(F.when(F.col("_role") == "first", F.col("name"))).alias("first_role"), F.max(F.when(F.col("_role") == "second", F.col("name"))).alias("second_role"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from rowloom.functions import html, jsonx, text, timefmt
 from rowloom.operators import changes, index, ingest, metrics, pack, transcripts
+from rowloom.sources import readers, shared, writers
+from rowloom.streaming import feed
 
 QUERIES = {}
 SQL = {}
@@ -43,10 +45,12 @@ def rating_projection(spark, sf_dir):
     return rows.select("event_id", "user_id", jsonx.json_text(F.col("props"), "k").alias("rating"), jsonx.json_has_key(F.col("props"), "k").alias("rated"))
 
 
-@registered("""SELECT event_id, user_id, event_type, value FROM events WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'error')""")
+@registered("""WITH e AS (SELECT event_id, user_id || ' ' || strftime(ts, '%Y-%m-%d') AS run, event_type, value FROM events) SELECT * FROM e WHERE run IN (SELECT run FROM e WHERE event_type = 'error')""")
 def rated_run_rows(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    return changes.rows_of_runs(events, events.where("event_type = 'error'"), "user_id")
+    """A user's day is a run; those with an error are wanted."""
+    run = F.concat_ws(" ", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd"))
+    events = table(spark, sf_dir, "events").select("event_id", run.alias("run"), "event_type", "value")
+    return changes.rows_of_runs(events, events.where("event_type = 'error'"), "run").select("event_id", "run", "event_type", "value")
 
 
 @registered(f"""SELECT e.event_id, e.event_type AS rating, CASE WHEN o.event_id IS NULL THEN 'new' ELSE 'changed' END AS change_type
@@ -105,6 +109,15 @@ def status_tally(spark, sf_dir):
     return metrics.status_tally(table(spark, sf_dir, "events").select(status.alias("status")), "status")
 
 
+@registered("""SELECT event_id, 'ERROR: ' || coalesce(props->>'$.k', 'unknown') AS status FROM events WHERE event_type = 'error'""")
+def status_failures(spark, sf_dir):
+    n = F.floor("value")
+    error = F.when(F.col("event_type") == "error", F.coalesce(jsonx.json_text(F.col("props"), "k"), F.lit("unknown")))
+    status = metrics.comment_status(n, n, error, F.lit(False))
+    rows = table(spark, sf_dir, "events").select("event_id", F.when(status.startswith("NO_COMMENTS"), "SUCCESS: none").otherwise(status).alias("status"))
+    return metrics.failures(rows, "status")
+
+
 # --- transcripts ---------------------------------------------------------------------------------------------------
 
 #: Turns as lines: a turn lasts 15 seconds.
@@ -200,16 +213,17 @@ def subtitle_lines(spark, sf_dir):
 
 @registered("""SELECT folder, base, max(CASE WHEN position('HV' IN name) > 0 THEN name END) AS first_role,
 max(CASE WHEN position('HV' IN name) = 0 AND position('mentor' IN name) > 0 THEN name END) AS second_role FROM
-(SELECT p_size AS folder, 'vid' || p_partkey AS base FROM part WHERE p_partkey % 2 = 0) v JOIN
+(SELECT p_size AS folder, 'vid' || p_partkey AS base FROM part) v JOIN
 (SELECT p_size AS folder, 'audio vid' || p_partkey || CASE WHEN p_partkey % 3 = 0 THEN ' mentor.wav' ELSE ' HV.wav' END AS name FROM part
- UNION ALL SELECT p_size, 'vid' || p_partkey || ' mentor HV.mp3' FROM part WHERE p_partkey % 3 = 0) a USING (folder)
+ UNION ALL SELECT p_size, CASE WHEN p_partkey % 3 = 0 THEN 'vid' || p_partkey || ' mentor HV.mp3' ELSE 'other' || p_partkey || '.mp3' END FROM part) a USING (folder)
 WHERE position(base IN name) > 0 GROUP BY folder, base HAVING first_role IS NOT NULL AND second_role IS NOT NULL""")
 def name_pairing(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(F.col("p_size").alias("folder"), "p_partkey")
     copies = F.format_string("Bản sao của vid%d.mp4", F.col("p_partkey"))
-    videos = part.where("p_partkey % 2 = 0").select("folder", text.base_name(copies).alias("base"))
+    videos = part.select("folder", text.base_name(copies).alias("base"))
     first = F.concat(F.format_string("audio vid%d", F.col("p_partkey")), F.when(F.col("p_partkey") % 3 == 0, " mentor.wav").otherwise(" HV.wav"))
-    audio = part.select("folder", first.alias("name")).union(part.where("p_partkey % 3 = 0").select("folder", F.format_string("vid%d mentor HV.mp3", F.col("p_partkey"))))
+    second = F.when(F.col("p_partkey") % 3 == 0, F.format_string("vid%d mentor HV.mp3", F.col("p_partkey"))).otherwise(F.format_string("other%d.mp3", F.col("p_partkey")))
+    audio = part.select("folder", first.alias("name")).union(part.select("folder", second))
     return transcripts.paired_names(videos, audio, "folder")
 
 
@@ -240,13 +254,22 @@ def qa_prompts(spark, sf_dir):
 
 # --- packing and merges --------------------------------------------------------------------------------------------
 
-@registered("""WITH RECURSIVE c AS (SELECT conv_id, turn, text, length(text) + 2 AS cost, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations WHERE text IS NOT NULL),
+PARTS_SQL = """WITH RECURSIVE c AS (SELECT conv_id, turn, text, length(text) + 2 AS cost, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations WHERE text IS NOT NULL),
 f AS (SELECT conv_id, rn, 1 AS part_no, cost AS size FROM c WHERE rn = 1
  UNION ALL SELECT c.conv_id, c.rn, CASE WHEN f.size + c.cost > 400 THEN f.part_no + 1 ELSE f.part_no END, CASE WHEN f.size + c.cost > 400 THEN c.cost ELSE f.size + c.cost END
  FROM f JOIN c ON c.conv_id = f.conv_id AND c.rn = f.rn + 1)
-SELECT conv_id, part_no, count(*)::INT AS n_items, string_agg(text, chr(10) || chr(10) ORDER BY rn) AS part FROM f JOIN c USING (conv_id, rn) GROUP BY conv_id, part_no""")
+SELECT conv_id, part_no, count(*)::INT AS n_items, string_agg(text, chr(10) || chr(10) ORDER BY rn) AS part FROM f JOIN c USING (conv_id, rn) GROUP BY conv_id, part_no"""
+
+
+@registered(PARTS_SQL)
 def pack_texts(spark, sf_dir):
-    return pack.greedy_parts(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text", most=400)
+    return pack.greedy_parts_long(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text", most=400)
+
+
+@registered(f"""WITH p AS ({PARTS_SQL}) SELECT conv_id, count(*) AS n_parts, max(part) FILTER (part_no = 1) AS comments_1, max(part) FILTER (part_no = 2) AS comments_2, max(part) FILTER (part_no = 3) AS comments_3 FROM p GROUP BY conv_id""")
+def part_columns(spark, sf_dir):
+    parts = pack.greedy_parts_long(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text", most=400)
+    return pack.part_columns(parts, "conv_id", 3)
 
 
 @registered("""WITH d AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) AS rn FROM documents),
@@ -379,6 +402,26 @@ def answers_table(spark, sf_dir):
     return jsonx.answers_table(answers(spark, sf_dir), "answer", "event_id")
 
 
+@registered("""SELECT count(*) AS n_answers, count(*) FILTER (event_id % 3 = 2) AS n_unread, sum(CASE event_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 0 END)::BIGINT AS n_items, count(*) FILTER (event_id % 3 = 1) AS n_dropped FROM events""")
+def answers_dropped(spark, sf_dir):
+    return jsonx.answers_dropped(answers(spark, sf_dir), "answer")
+
+
+@registered("""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN o_orderstatus || ', ' || o_orderpriority WHEN 1 THEN o_orderpriority ELSE 'no information' END AS purpose FROM orders""")
+def joined_purpose(spark, sf_dir):
+    """Purposes as a list, as plain text, or none."""
+    key, listed = F.col("o_orderkey"), F.to_json(F.array("o_orderstatus", "o_orderpriority"))
+    purpose = F.when(key % 3 == 0, listed).when(key % 3 == 1, F.col("o_orderpriority"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", jsonx.joined_purpose(purpose).alias("purpose"))
+
+
+@registered("""SELECT o_orderkey, 'Post: ' || o_orderpriority || chr(10) || 'Transcript: ' || CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE 'Không có' END || chr(10) || 'Comments: ' || CASE WHEN o_orderkey % 3 = 0 THEN 'Không có' ELSE o_custkey::VARCHAR END AS prompt FROM orders""")
+def content_prompts(spark, sf_dir):
+    key = F.col("o_orderkey")
+    transcript, comments = F.when(key % 2 == 0, F.col("o_orderstatus")), F.when(key % 3 == 0, "").otherwise(F.col("o_custkey").cast("string"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.content_prompt(F.col("o_orderpriority"), transcript, comments).alias("prompt"))
+
+
 @registered("""WITH o AS (SELECT o_orderkey, o_orderstatus AS s, o_orderpriority AS p, o_custkey AS c FROM orders)
 SELECT o_orderkey, '- status: ' || s || chr(10) || '- parts:' || chr(10) || '  + ' || p || chr(10) || '  + x' AS bullets, p || ', x' AS points, '- need ' || p || chr(10) || '- more' AS needs,
 CASE o_orderkey % 4 WHEN 0 THEN 'deep ' || p WHEN 1 THEN 'first ' || p WHEN 2 THEN 'plain ' || p ELSE 'no information' END AS insight, CASE WHEN o_orderkey % 2 = 0 THEN 'buyer ' || c ELSE 'no information' END AS persona FROM o""")
@@ -427,6 +470,25 @@ def keyword_split(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", group.alias("keyword_group"))
 
 
+KEYWORD_SQL = "CASE WHEN text IS NULL THEN 'no text' WHEN regexp_matches(text, '(?i)(^|[^\\pL\\pN])(license|released|the)($|[^\\pL\\pN])') THEN 'keyword' ELSE 'none' END"
+
+
+@registered(f"""SELECT keyword_group, count(*) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM documents), 2) AS percent FROM (SELECT {KEYWORD_SQL} AS keyword_group FROM documents) GROUP BY keyword_group""")
+def keyword_shares(spark, sf_dir):
+    return ingest.keyword_shares(table(spark, sf_dir, "documents"), "text", ["the", "license", "released"])
+
+
+#: Keywords without their text: RE2 looks at no surroundings, so each keyword takes the character after it along, and a
+#: second pass gets those whose own character before the first one has taken.
+STRIP_SQL = "regexp_replace({0}, '(?i)(^|[^\\pL\\pN])(license|released|the)($|[^\\pL\\pN])', '\\1\\3', 'g')"
+
+
+@registered(f"""SELECT doc_id, md5(trim(regexp_replace({STRIP_SQL.format(STRIP_SQL.format('text'))}, '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g'))) AS stripped_md5 FROM documents""")
+def keyword_free_text(spark, sf_dir):
+    _, stripped = ingest.keyword_split(F.col("text"), ["the", "license", "released"])
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(stripped).alias("stripped_md5"))
+
+
 # --- counts, times, records ----------------------------------------------------------------------------------------
 
 @registered("""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN (o_custkey % 1000) * 10000 WHEN 1 THEN (o_custkey % 900) * 1000 WHEN 2 THEN o_custkey ELSE 0 END AS followers, o_orderkey AS views FROM orders""")
@@ -467,6 +529,13 @@ def long_calls(spark, sf_dir):
     return rows.select("event_id", F.date_format("day", "yyyy-MM-dd").alias("day"), "seconds")
 
 
+@registered("""SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n_calls, sum(n)::BIGINT AS seconds FROM (SELECT ts, floor(value)::BIGINT % 300 AS n FROM events) WHERE n > 60 GROUP BY day""")
+def calls_per_day(spark, sf_dir):
+    calls = table(spark, sf_dir, "events").select("event_id", "ts", (F.floor("value").cast("long") % 300).alias("n"))
+    days = metrics.calls_per_day(metrics.long_calls(calls, "ts", F.col("n")))
+    return days.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n_calls", "seconds")
+
+
 @registered("""SELECT batch, '{"records":[' || string_agg('{"fields":{"key":"' || s_suppkey || '","name":"' || s_name || '","note":"' || CASE WHEN s_nationkey % 2 = 0 THEN 'None' ELSE s_nationkey::VARCHAR END || '"}}', ',' ORDER BY s_suppkey::VARCHAR) || ']}' AS payload
 FROM (SELECT *, (row_number() OVER (ORDER BY s_suppkey) - 1) // 100 AS batch FROM supplier) GROUP BY batch""")
 def record_payload(spark, sf_dir):
@@ -519,3 +588,93 @@ def review_rows(spark, sf_dir):
 @registered("""SELECT o_orderkey, 'orders_' || strftime(o_orderdate, '%Y%m%d_%H%M%S') AS name FROM orders""")
 def time_names(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("orders_"), timefmt.time_name(F.col("o_orderdate"))).alias("name"))
+
+
+# --- sources and sinks: written to the shared folder and read back ---------------------------------------------------
+
+@registered("""SELECT s_suppkey, s_name, s_nationkey::VARCHAR AS s_nationkey, s_acctbal FROM supplier""")
+def sheet_scan(spark, sf_dir):
+    """A sheet as CSV with header; a number column is wanted as text."""
+    path = shared.scratch(spark, "sheet")
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    rows.write.option("header", True).csv(path)
+    return readers.sheet(spark, path, rows.schema, ("s_nationkey",))
+
+
+@registered("""SELECT event_id AS call_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS called_at, '0' || user_id AS phone, event_type AS agent FROM events""")
+def call_log_scan(spark, sf_dir):
+    """The headerless call log, written from events."""
+    path = shared.scratch(spark, "calls")
+    events = table(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.concat(F.lit("0"), F.col("user_id").cast("string")), "event_type", F.lit("1:00"), F.lit("https://x/a.mp3"))
+    events.write.option("header", False).csv(path)
+    return readers.call_log(spark, path).select("call_id", F.date_format("called_at", "yyyy-MM-dd HH:mm:ss").alias("called_at"), "phone", "agent")
+
+
+@registered("""SELECT page_id AS n, url FROM pages""")
+def url_list_scan(spark, sf_dir):
+    """A list of numbered URLs with other lines between, written as ordered lines and read back."""
+    path = shared.scratch(spark, "urls")
+    line = F.concat(F.col("page_id").cast("string"), F.lit(". "), "url", F.lit("\nsee above"))
+    writers.write_lines(table(spark, sf_dir, "pages").select("page_id", line.alias("line")), path, "line", "page_id")
+    return readers.numbered_lines(spark, path)
+
+
+@registered("""SELECT c_custkey, c_name, c_nationkey FROM customer UNION ALL SELECT -c_custkey, 'again ' || c_name, NULL FROM customer WHERE c_acctbal < 0""")
+def table_versions(spark, sf_dir):
+    """A table written as one version, and a later one that rows have been added to, columns matched by name."""
+    root = shared.scratch(spark, "versions")
+    customer = table(spark, sf_dir, "customer")
+    writers.write_version(customer.select("c_custkey", "c_name", "c_nationkey"), root, "customer", "1")
+    more = customer.where("c_acctbal < 0").select(F.concat(F.lit("again "), "c_name").alias("c_name"), (-F.col("c_custkey")).alias("c_custkey"))
+    writers.write_version(ingest.union_by_name(writers.read_version(spark, root, "customer", "1"), more), root, "customer", "2")
+    return writers.read_version(spark, root, "customer")
+
+
+@registered("""SELECT row_number() OVER (ORDER BY fresh, s_suppkey) AS "STT", s_suppkey, s_name FROM (SELECT 0 AS fresh, s_suppkey, s_name FROM supplier WHERE s_nationkey < 12 UNION ALL SELECT 1, s_suppkey, s_name FROM supplier WHERE s_nationkey >= 12)""")
+def appended_rows(spark, sf_dir):
+    """Rows appended to a stored table and all of them numbered anew."""
+    root, rows = shared.scratch(spark, "append"), table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    stored = rows.where("s_nationkey < 12").select(F.lit(0).cast("long").alias("STT"), "s_suppkey", "s_name")
+    writers.write_version(stored, root, "suppliers", "1")
+    writers.append_version(rows.where("s_nationkey >= 12").select(F.lit(0).cast("long").alias("STT"), "s_suppkey", "s_name"), root, "suppliers", "2", "s_suppkey")
+    return writers.read_version(spark, root, "suppliers")
+
+
+@registered("""SELECT CASE WHEN o_totalprice > 100000 THEN 'large' ELSE 'small' END AS label, o_orderkey, o_totalprice FROM orders""")
+def label_outputs(spark, sf_dir):
+    """Several named outputs out of one source, read back and put together."""
+    root, label = shared.scratch(spark, "outputs"), F.when(F.col("o_totalprice") > 100_000, "large").otherwise("small")
+    orders = table(spark, sf_dir, "orders").select(label.alias("label"), "o_orderkey", "o_totalprice")
+    writers.write_outputs(orders, {name: lambda df, name=name: df.where(F.col("label") == name) for name in ("large", "small")}, root, "1")
+    return writers.read_version(spark, root, "large").unionByName(writers.read_version(spark, root, "small"))
+
+
+@registered("""SELECT p_brand AS final_label, p_partkey, p_retailprice FROM part""")
+def label_folders(spark, sf_dir):
+    """Rows routed into a folder for each label, read back with the label from the folder's name."""
+    path = shared.scratch(spark, "labels")
+    writers.write_by_label(table(spark, sf_dir, "part").select(F.col("p_brand").alias("final_label"), "p_partkey", "p_retailprice"), path)
+    return spark.read.schema("p_partkey long, p_retailprice double, final_label string").parquet(path)
+
+
+@registered("""SELECT n.n_name AS nation, c.c_custkey AS id, c.c_name AS name FROM customer c JOIN nation n ON c_nationkey = n_nationkey""")
+def page_records(spark, sf_dir):
+    """Response pages, one JSON document for each nation's customers, and their records exploded."""
+    path = shared.scratch(spark, "pages")
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    named = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("nation"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), (F.col("c_custkey") % 64).alias("page"))
+    writers.write_json(named.groupBy("nation", "page").agg(F.collect_list(F.struct("nation", "id", "name")).alias("records")).select("records"), path)
+    return readers.record_pages(spark, path, "struct<nation:string,id:long,name:string>", multi_line=False)
+
+
+@registered(f"""WITH old AS ({OLD}) SELECT event_id, rating FROM old
+UNION ALL SELECT e.event_id, e.event_type FROM events e LEFT JOIN old USING (event_id) WHERE old.event_id IS NULL OR old.rating IS DISTINCT FROM e.event_type""")
+def feed_state(spark, sf_dir):
+    """Two landed snapshots through the streaming feed: all that its state holds after both."""
+    root, events = shared.scratch(spark, "feed"), table(spark, sf_dir, "events")
+    landed, schema = f"{root}/landed", "event_id long, rating string, snapshot_at long"
+    shots = [old_ratings(events), events.select("event_id", F.col("event_type").alias("rating"))]
+    for number, shot in enumerate(shots):
+        shot.select(F.col("event_id").cast("long").alias("event_id"), "rating", F.lit(number).cast("long").alias("snapshot_at")).write.mode("append").parquet(landed)
+        feed.run_feed(spark, landed, schema, root, f"{root}/checkpoint", "event_id", "rating", lambda changed, batch: None, files_per_batch=10_000)
+    return writers.read_version(spark, root, "state").select("event_id", "rating")

@@ -53,11 +53,11 @@ def call_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CALL_LOG).option("header", False).csv(path)
 
 
-def record_pages(spark: SparkSession, path: str, item: T.DataType | str, array: str = "records") -> DataFrame:
-    """Items of landed response pages (one JSON document per file) out of their `records`, `items`, `itemList` or `data`
-    array."""
+def record_pages(spark: SparkSession, path: str, item: T.DataType | str, array: str = "records", multi_line: bool = True) -> DataFrame:
+    """Items of landed response pages out of their `records`, `items`, `itemList` or `data` array: one JSON document per
+    file, or without multi_line one per line, which large files can be split by."""
     kind = item if isinstance(item, str) else item.simpleString()
-    pages = spark.read.schema(f"`{array}` array<{kind}>").option("multiLine", True).json(path)
+    pages = spark.read.schema(f"`{array}` array<{kind}>").option("multiLine", multi_line).json(path)
     return pages.select(F.explode(array).alias("item")).select("item.*")
 
 

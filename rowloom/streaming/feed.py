@@ -12,10 +12,11 @@ from rowloom.operators.index import latest_by
 from rowloom.sources.writers import read_version, versions, write_version
 
 
-def run_feed(spark: SparkSession, landed: str, schema, root: str, checkpoint: str, key: str, tracked: str, publish: Callable[[DataFrame, int], None]) -> None:
+def run_feed(spark: SparkSession, landed: str, schema, root: str, checkpoint: str, key: str, tracked: str, publish: Callable[[DataFrame, int], None], files_per_batch: int = 1) -> None:
     """Take every snapshot file that has landed since the last run, publish its new and changed records and then add
     them to the state, a table of versions under root. State advances only after publish has returned, and a batch that
-    is tried again writes nothing twice: its version is its number."""
+    is tried again writes nothing twice: its version is its number. files_per_batch: where snapshots have several files,
+    how many of them are diffed at once; within a batch the latest row of a key counts."""
 
     def batch(df: DataFrame, number: int) -> None:
         version = f"{number:010d}"
@@ -32,5 +33,5 @@ def run_feed(spark: SparkSession, landed: str, schema, root: str, checkpoint: st
             write_version(stored.unionByName(added), root, "state", version)
         changed.unpersist()
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landed)
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

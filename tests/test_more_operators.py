@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowloom.functions import jsonx, text
-from rowloom.operators import changes, ingest, metrics, transcripts
+from rowloom.operators import changes, index, ingest, metrics, transcripts
 
 
 def rows(df):
@@ -67,3 +67,58 @@ def test_report_values(spark):
     report = {r.name: r for r in metrics.class_report(spark.createDataFrame(pairs, "t string, p string"), "t", "p", ["a", "b"]).collect()}
     assert report["a"].precision == pytest.approx(3 / 5) and report["a"].recall == pytest.approx(3 / 4)
     assert report["accuracy"].f1 == pytest.approx(5 / 8) and report["macro avg"].precision == pytest.approx((3 / 5 + 2 / 3) / 2)
+
+
+def test_keywords_are_plain_text(spark):
+    df = spark.createDataFrame([("i like C++, really",), ("i like c",), ("a ( b) c",), ("cc++",), (None,)], "t string")
+    group, stripped = ingest.keyword_split(F.col("t"), ["c++", "(", ""])
+    rows = df.select("t", group.alias("g"), stripped.alias("s")).collect()
+    assert [r.g for r in rows] == ["keyword", "none", "keyword", "none", "no text"]
+    assert [r.s for r in rows] == ["i like , really", "i like c", "a b) c", "cc++", None]
+    assert {r[0] for r in df.select(ingest.keyword_split(F.col("t"), [])[0]).collect()} == {"none", "no text"}
+    shares = {r.keyword_group: (r.n, r.percent) for r in ingest.keyword_shares(df, "t", ["c++", "("]).collect()}
+    assert shares == {"keyword": (2, 40.0), "none": (2, 40.0), "no text": (1, 20.0)}
+    assert ingest.keyword_shares(df.limit(0), "t", ["x"]).count() == 0
+
+
+def test_kind_of_name_ignores_case(spark):
+    df = spark.createDataFrame([("My CLIP.mp4",), ("song",), (None,)], "n string")
+    assert [r[0] for r in df.select(ingest.kind_of_name(F.col("n"), [("Clip", "video"), ("SONG", "audio")])).collect()] == ["video", "audio", None]
+
+
+def test_index_over_equal_first_columns(spark):
+    df = spark.createDataFrame([(1, i) for i in range(500)] + [(0, 7), (2, 8)], "a int, b int")
+    got = index.dense_index(df, "a", "b").orderBy("rn").collect()
+    assert [r.rn for r in got] == list(range(1, 503)) and [(r.a, r.b) for r in got] == sorted((r.a, r.b) for r in got)
+
+
+def test_paired_names_against_all_pairs(spark):
+    videos = [(1, "ab"), (1, "abc"), (2, "ab"), (2, ""), (3, "a much longer base than any name"), (1, "HV")]
+    audio = [(1, "abc HV"), (1, "xab mentor"), (1, "abab HV"), (2, "ab mentor HV"), (2, "mentor ab"), (2, "a"), (1, "HV mentor"), (3, "")]
+    got = transcripts.paired_names(spark.createDataFrame(videos, "f int, base string"), spark.createDataFrame(audio, "f int, name string"), "f").collect()
+    wanted = set()
+    for f, base in videos:
+        names = [n for g, n in audio if g == f and base and base in n]
+        first, second = max((n for n in names if "HV" in n), default=None), max((n for n in names if "HV" not in n and "mentor" in n), default=None)
+        if first and second:
+            wanted.add((f, base, first, second))
+    assert {tuple(r) for r in got} == wanted and wanted
+    none = spark.createDataFrame([], "f int, base string")
+    assert transcripts.paired_names(none, spark.createDataFrame(audio, "f int, name string"), "f").count() == 0
+
+
+def test_answers_with_given_keys_and_what_is_dropped(spark):
+    rows = [(1, '```json\n[{"a": 1}, 5, {"b": "x"}]\n```'), (2, "{broken"), (3, '{"a": null}'), (4, None), (5, "[]"), (6, "7")]
+    df = spark.createDataFrame(rows, "id int, answer string")
+    got = jsonx.answers_table(df, "answer", "id", keys=["b", "zz"]).orderBy("id", "pos").collect()
+    assert [tuple(r) for r in got] == [(1, 0, None, None), (1, 2, "x", None), (3, 0, None, None)]
+    assert tuple(jsonx.answers_dropped(df, "answer").first()) == (6, 3, 4, 1)
+    assert tuple(jsonx.answers_dropped(df.limit(0), "answer").first()) == (0, 0, 0, 0)
+
+
+def test_failures_and_days(spark):
+    df = spark.createDataFrame([(1, "SUCCESS: 2"), (2, "ERROR: x"), (3, None)], "id int, status string")
+    assert [r.id for r in metrics.failures(df, "status").collect()] == [2, 3]
+    calls = spark.createDataFrame([("2025-01-01 00:00:00", 61), ("2025-01-01 09:00:00", 100), ("2025-01-02 00:00:00", 60)], "at string, s int")
+    days = metrics.calls_per_day(metrics.long_calls(calls, "at", F.col("s"))).collect()
+    assert [(str(r.day), r.n_calls, r.seconds) for r in days] == [("2025-01-01", 2, 161)]

@@ -14,6 +14,21 @@ def test_jdbc_options():
         readers.jdbc_options("j", "t", "u", "p", "id")
 
 
+def test_relation(spark):
+    """A scan in ranges from a database within this process, written there first."""
+    options = readers.jdbc_options("jdbc:derby:memory:rowloom_test;create=true", "RATINGS", "APP", "x")
+    options["driver"] = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    rows = spark.range(100).select(F.col("id").alias("ID"), F.concat(F.lit("r"), F.col("id").cast("string")).alias("RATE"))
+    rows.write.format("jdbc").options(**options).save()
+    split = options | {k: v for k, v in readers.jdbc_options("", "", "", "", "ID", (0, 100), 4).items() if k not in ("url", "dbtable", "user", "password")}
+    got = readers.relation(spark, **split)
+    assert got.rdd.getNumPartitions() == 4 and sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect()))
+    found = got.where("ID < 3").select("RATE")
+    assert "PushedFilters: [*IsNotNull(ID), *LessThan(ID,3)]" in found._jdf.queryExecution().executedPlan().toString() and found.count() == 3
+    with pytest.raises(Exception, match="MISSING"):
+        readers.relation(spark, **(options | {"dbtable": "MISSING"}))
+
+
 def test_catalog(spark):
     spark.range(12).createOrReplaceTempView("numbers_seen")
     assert "numbers_seen" in readers.table_list(spark)
