@@ -2,27 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from rowloom.sources.shared import scratch, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Only where that is unset and all of Spark is one process, as in tests, a
-    temporary one; executors elsewhere would not see that."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not (master := spark.sparkContext.master).startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/rowloom/{label}-{uuid.uuid4().hex}"
+__all__ = ["clean", "scratch", "shared_dir", "table", "written"]
 
 
 def written(df: DataFrame, label: str, **options: str) -> DataFrame:

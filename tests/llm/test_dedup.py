@@ -235,6 +235,20 @@ def test_near_copies_edges(spark):
     assert near_dedup.one_of_each(docs(spark, [])).count() == 0
 
 
+def test_long_texts(spark):
+    """Texts of a million words and lines, copies and near copies of them."""
+    words = [f"w{i}" for i in range(200_000)]
+    long, near = " ".join(words), " ".join(words[:-1] + ["other"])
+    rows = [(1, long), (2, near), (3, "x" * 2_000_000), (4, long), (5, "short text of six words here")]
+    got = {r.doc_id: r for r in simhash.simhash_groups(docs(spark, rows)).collect()}
+    assert got[1].fingerprint == got[4].fingerprint == f"{simhash.majority(simhash.shingles(long)) & (2**64 - 1):016x}" and got[4].component_id == 1
+    assert sorted(r.doc_id for r in near_dedup.one_of_each(docs(spark, rows)).collect()) == [1, 3, 5]
+    assert sorted(r.doc_id for r in exact_dedup.without_copies(docs(spark, rows)).collect()) == [2, 3, 4, 5]
+    lines = [(i, "\n".join(f"a line that many documents share, number {k}" for k in range(100_000)) + f"\nown {i}") for i in range(6)]
+    cut = {r.doc_id: r for r in line_dedup.line_dedup(docs(spark, lines)).collect()}
+    assert [cut[i].n_dropped for i in range(6)] == [100_000] * 5 + [0] and cut[2].text == "own 2"
+
+
 def test_components(spark):
     rng = random.Random(1)
     path = [(i, i + 1) for i in range(40)]

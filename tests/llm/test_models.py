@@ -31,6 +31,29 @@ def test_quality_edges(spark):
     assert len(quality.statistics("")) == len(quality.FEATURES) == len(quality.statistics("Ä b\n|c!!!"))
 
 
+def test_statistics_by_hand():
+    """The features from their definitions, character by character."""
+    rng = random.Random(4)
+    for text in ["", "Ein Wort", "AB cd!! ef|gh\n\n  x. y\nx. y", *("".join(rng.choice("aB3 .,!|$é\n\t") for _ in range(rng.randrange(1, 300))) for _ in range(60))]:
+        raw = text.encode()
+        words = raw.split()
+        lines = [line for line in raw.split(b"\n") if line.strip()]
+        n, w, k = max(1, len(raw)), max(1, len(words)), max(1, len(lines))
+        share = lambda test: sum(map(test, raw)) / n
+        marks = b".,;:!?'\""
+        low = [x.lower() for x in words]
+        wanted = {
+            "log_bytes": math.log1p(len(raw)), "log_words": math.log1p(len(words)), "upper": share(lambda b: 65 <= b <= 90), "lower": share(lambda b: 97 <= b <= 122),
+            "digits": share(lambda b: 48 <= b <= 57), "blanks": share(lambda b: b == 32 or 9 <= b <= 13), "sentence_marks": share(lambda b: b in marks), "wide": share(lambda b: b > 127),
+            "distinct_words": len(set(low)) / w, "commonest_word": max((low.count(x) for x in low), default=0) / w, "log_lines": math.log1p(len(lines)), "line_words": len(words) / k if words else 1 / k,
+            "distinct_lines": len(set(lines)) / k, "ended_lines": sum(x.rstrip()[-1:] in (b".", b"!", b"?", b":", b";", b'"', b"'", b")") for x in lines) / k, "pipes": raw.count(b"|") / w,
+            "short_words": sum(len(x) <= 3 for x in words) / w, "exclaims": raw.count(b"!") / w, "distinct_pairs": len(set(zip(low, low[1:]))) / w,
+        }
+        got = dict(zip(quality.FEATURES, quality.statistics(text)))
+        assert {name: pytest.approx(value) for name, value in wanted.items()} == {name: got[name] for name in wanted}
+        assert sum(got[c] for c in ("upper", "lower", "digits", "blanks", "sentence_marks", "other_marks", "wide")) == pytest.approx(1 if raw else 0)
+
+
 def test_forest_is_the_trees():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((400, 5))

@@ -1,5 +1,7 @@
 from types import SimpleNamespace
 
+import pytest
+
 from rowloom.llm import tables
 
 
@@ -15,3 +17,10 @@ def test_written_and_clean(spark):
 def test_the_cluster_names_the_folder():
     cluster = SimpleNamespace(conf={"spark.checkpoint.dir": "hdfs://name/shared/"})
     assert tables.scratch(cluster, "x").startswith("hdfs://name/shared/rowloom/x-")
+
+
+def test_a_cluster_without_a_folder_is_refused():
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        cluster = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master=master))
+        with pytest.raises(ValueError):
+            tables.scratch(cluster, "x")

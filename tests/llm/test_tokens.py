@@ -42,6 +42,25 @@ def test_token_counts(spark):
     assert token_counts.token_counts(docs(spark, []), BYTE).count() == 0
 
 
+def test_long_and_foreign_texts(spark):
+    """Scripts beyond the plain characters go through both tiers too, as do texts of megabytes."""
+    rows = [(1, "Привет, мир! Это тест. " * 3000, "s"), (2, "日本語 テキスト" * 2000, "s"), (3, "word " * 400_000, "s"), (4, "q" * 1_000_000, "s"), (5, "a <|endoftext|> é😀 b", "s")]
+    library = Tokenizer.from_file(BYTE)
+    assert wordbpe.Encoder(BYTE).pre_tokens(rows[0][1])[:3] == ["Привет", ",", " мир"] and wordbpe.Encoder(BYTE).pre_tokens(rows[4][1]) is None
+    got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs(spark, rows), BYTE).collect()}
+    assert got == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t, _ in rows}
+
+
+def test_cache_keeps_what_is_asked_for():
+    cache = wordbpe.Cache(3)
+    for n in range(20):
+        cache.put(f"w{n}", n)
+        assert cache.get("hot") in (None, 1)
+        if n == 0:
+            cache.put("hot", 1)
+    assert cache.get("hot") == 1 and cache.get("w2") is None and len(cache.young) <= 3 and len(cache.old) <= 3
+
+
 def test_bpe(spark):
     rows = [(i, t, "s") for i, t in enumerate(TEXTS)] + [(None, "x", "s")]
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
