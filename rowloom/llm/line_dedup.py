@@ -1,7 +1,7 @@
 """Line deduplication across documents.
 
-Lines are normalised to keys and hashed once, and the hashes written. They are made distinct within each document before
-they are exploded, counted over documents with map-side partial sums, and those over the threshold are joined back to the
+Lines are normalised to keys and hashed once, and the hashes written. They are exploded, made distinct within each document
+and counted over documents, both with map-side partial sums, and those over the threshold are joined back to the
 lines by a filter of their own, so that other lines are not shuffled. What comes out are positions to drop. Only the texts
 that have some are moved, split and put together again by position.
 """
@@ -55,7 +55,7 @@ def line_dedup(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) -> D
     docs, key = located(docs), new_name("row")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), row_key(docs).alias(key))
     hashed = written(rows.select(key, "doc_id", _hashes(F.col("text"), least_chars).alias("hashes")), "line-hashes")
-    per_doc = hashed.select("doc_id", F.explode(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull()))).alias("h")).distinct()  # rows that repeat a doc_id count once
+    per_doc = hashed.select("doc_id", F.explode(F.filter("hashes", lambda h: h.isNotNull())).alias("h")).distinct()  # lines of a document, rows of a doc_id count once
     common = per_doc.groupBy("h").agg(F.count("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"))
     # a hot line is one key of the join below; as its other side is a table of its own, adaptive execution can split it
     common = written(common.where(F.col("n_docs") >= least_docs), "common-lines")
