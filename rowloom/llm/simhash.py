@@ -122,9 +122,13 @@ def _others(block: int) -> list[int]:
     return [position for position in range(8) if position not in BLOCKS[block]]
 
 
-def chunked(rows: DataFrame, node: str, size: int) -> DataFrame:
-    """rows (lists by key, each with its length n) with the part: any two of a list meet in some part."""
-    rows = rows.withColumn("chunks", F.ceil(F.col("n") / F.lit(size)).cast("int"))
+def chunked(rows: DataFrame, node: str, size: int, most_bytes: int | None = None) -> DataFrame:
+    """rows (lists by key, each with its length n) with the part: any two of a list meet in some part. Chunks have about
+    `size` rows or, where rows carry the list's bytes too, `most_bytes`, whichever comes first."""
+    chunks = F.ceil(F.col("n") / F.lit(size))
+    if most_bytes:
+        chunks = F.greatest(chunks, F.least(F.ceil(F.col("bytes") / F.lit(most_bytes)), F.col("n")))
+    rows = rows.withColumn("chunks", chunks.cast("int"))
     own = F.pmod(F.xxhash64(node), F.col("chunks").cast("long")).cast("int")
     others = F.transform(
         F.expr("sequence(0, chunks - 1)"),

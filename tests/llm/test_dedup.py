@@ -198,10 +198,11 @@ def planted_texts():
     return rows + [(900, ""), (901, " \t\n"), (902, "Einzel wort"), (903, "ÄB c"), (904, "äb c"), (905, "EINZEL  WORT")]
 
 
-@pytest.mark.parametrize("chunk", [2, 512])
-def test_near_copies(spark, monkeypatch, chunk):
+@pytest.mark.parametrize("chunk, size", [(2, 16 << 20), (512, 16 << 20), (512, 3000)])
+def test_near_copies(spark, monkeypatch, chunk, size):
     """Whole groups against brute force; SimHash leaves most of the pairs."""
     monkeypatch.setattr(near_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(near_dedup, "CHUNK_BYTES", size)
     rows = planted_texts()
     lower = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t).split()
     sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := lower(t)) else set() for _, t in rows]
