@@ -5,8 +5,9 @@ size. A small classifier learns, for each sampled vector, how its neighbours spr
 in its most probable part; a query is routed to its most probable parts, as many as it takes to gather the probability
 that gave the wanted recall on sampled queries, and all rows of these parts are reranked by the exact inner product.
 
-Parts are split into blocks of at most BLOCK rows, so a part that holds many rows is many tasks, and each task returns
-only the best of its block.
+Parts are split into blocks of at most BLOCK rows and BLOCK_BYTES, so a part that holds many rows is many tasks, and each
+task returns only the best of its block. A query's vector goes to each block of its parts once, in single precision where
+the embeddings have that; blocks are as large as a worker's memory allows, so that these are few.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ from rowloom.llm.tables import written
 #: Vectors that the partition and the classifier are fitted on at most: those with the smallest hashes of their id.
 SAMPLE = 8_192
 #: Rows a part should hold, least and most parts, sampled vectors that a part needs, rows of a block at most.
-PART_ROWS, LEAST_PARTS, MOST_PARTS, PART_SAMPLE, BLOCK = 4_096, 8, 256, 60, 8_192
+PART_ROWS, LEAST_PARTS, MOST_PARTS, PART_SAMPLE, BLOCK = 4_096, 8, 256, 60, 65_536
+#: Bytes of a block's vectors at most, products computed at once.
+BLOCK_BYTES, CELLS = 32 << 20, 1 << 20
 #: Share of a sampled query's neighbours that routing must reach there.
 TARGET_RECALL = 0.96
 
@@ -192,9 +195,10 @@ def _routed(queries: DataFrame, router: Router, rows: np.ndarray, k: int) -> Dat
 def best_of_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """(query_id, vec_id, score) of each query's k best rows of a block, ties to smaller ids, the query's own left out."""
     found = []
-    for start in range(0, len(queries), 128):
-        near = queries[start : start + 128] @ x.T
-        for row, query_id, query in zip(near, query_ids[start : start + 128], queries[start : start + 128]):
+    step = max(1, CELLS // len(x))
+    for start in range(0, len(queries), step):
+        near = queries[start : start + step] @ x.T
+        for row, query_id, query in zip(near, query_ids[start : start + step], queries[start : start + step]):
             row[ids == query_id] = -np.inf
             bound = np.partition(row, len(row) - k)[len(row) - k] if k < len(row) else -np.inf
             chosen = np.flatnonzero((row >= bound - 1e-9 * (1 + abs(bound)) if np.isfinite(bound) else True) & (row > -np.inf))
@@ -247,7 +251,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, sample: int = SAMPLE, tar
     index = written(_index(rows, router), "vector-index")
     by_part = {row["part"]: row["n"] for row in index.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = np.array([by_part.get(i, 0) for i in range(len(router.b2))])
-    blocks = F.array(*[F.lit(max(1, -(-int(n) // BLOCK))) for n in parts])
+    size = max(1, min(BLOCK, BLOCK_BYTES // (8 * length)))
+    blocks = F.array(*[F.lit(max(1, -(-int(n) // size))) for n in parts])
     held = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.get(blocks, F.col("part")).cast("long")).cast("int"))
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))  # one query per id
     asked = _routed(asked, router, parts, k)
