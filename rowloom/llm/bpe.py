@@ -183,7 +183,7 @@ class Engine:
     def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text's ids begin (one more entry at the end)."""
         split = [self.split(text) for text in batch]
-        met = {word: self.cache.get(word) for word in set().union(*split)}
+        met = self.cache.known(set().union(*split))
         missing = [word for word, raw in met.items() if raw is None]
         if missing:
             for name, ids in zip(missing, self.encode_words(missing)):

@@ -20,6 +20,8 @@ from rowloom.llm.wordbpe import MADE, Cache, encoder
 
 #: Documents that the frequent pre-tokens are taken from, and how many of these are broadcast, at most.
 SAMPLE, FREQUENT = 2_000, 30_000
+#: Pre-tokens that each generation of a worker's cache of lengths holds at most: some 60 MB for both.
+CACHED = 250_000
 
 
 def frequent_lengths(docs: DataFrame, tokenizer: str, sample: int = SAMPLE, most: int = FREQUENT) -> dict[str, int]:
@@ -49,14 +51,14 @@ class Counts:
     """Numbers of tokens of texts: from the broadcast table, then the worker's own cache, then the tokenizer."""
 
     def __init__(self, tokenizer: str):
-        self.encoder, self.cache = encoder(tokenizer), Cache()
+        self.encoder, self.cache = encoder(tokenizer), Cache(CACHED)
 
     def __call__(self, batch: list[str], frequent: dict[str, int]) -> list[int]:
         own, cache = self.encoder, self.cache
         split = [own.pre_tokens(text) for text in batch]
         found = [None if words is None else list(map(frequent.get, words)) for words in split]
         rest = [words and [word for word, size in zip(words, sizes) if size is None] for words, sizes in zip(split, found)]
-        met = {word: cache.get(word) for word in set().union(*filter(None, rest))}
+        met = cache.known(set().union(*filter(None, rest)))
         missing = [word for word, size in met.items() if size is None]
         for start in range(0, len(missing), MADE):
             names = missing[start : start + MADE]

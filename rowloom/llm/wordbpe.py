@@ -45,9 +45,17 @@ class Cache:
         self.most, self.young, self.old = most, {}, {}
 
     def get(self, word: str):
-        found = self.young.get(word)
-        if found is None and (found := self.old.get(word)) is not None:
-            self.put(word, found)
+        return self.known((word,))[word]
+
+    def known(self, words) -> dict:
+        """The value of each of the words, None for those that are not here."""
+        young, old, found = self.young.get, self.old.get, {}
+        for word in words:
+            value = young(word)
+            if value is None and (value := old(word)) is not None:
+                self.put(word, value)
+                young, old = self.young.get, self.old.get
+            found[word] = value
         return found
 
     def put(self, word: str, value) -> None:
@@ -113,7 +121,7 @@ class Encoder:
     def ids(self, batch: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         split = [self.pre_tokens(text) for text in batch]
-        met = {word: self.cache.get(word) for word in set().union(*filter(None, split))}
+        met = self.cache.known(set().union(*filter(None, split)))
         missing = [word for word, raw in met.items() if raw is None]
         for start in range(0, len(missing), MADE):
             names = missing[start : start + MADE]
