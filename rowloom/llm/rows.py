@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,12 +25,11 @@ def located(docs: DataFrame) -> DataFrame:
 
 
 def _has_rows(docs: DataFrame) -> bool:
+    """Whether the source numbers its rows; where it does not, the analysis says so."""
     try:
         return bool(docs.select(_metadata(docs)["row_index"]).columns)
-    except Exception as error:  # the analysis says so if there is no such column
-        if type(error).__name__ == "AnalysisException":
-            return False
-        raise
+    except AnalysisException:
+        return False
 
 
 def _metadata(docs: DataFrame) -> Column:
