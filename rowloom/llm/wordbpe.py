@@ -32,9 +32,9 @@ BYTE_LEVEL = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+
 WORD_ENDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+")
 ASCII_WORD_ENDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^\t-\r A-Za-z0-9]+")
 #: Pre-tokens encoded at once.
-MADE = 10_000
-#: Pre-tokens that each of the two generations of a worker's cache holds at most: some 40 MB for both.
-CACHED = 100_000
+MADE = 5_000
+#: Pre-tokens that each of the two generations of a worker's cache holds at most: some 25 MB for both.
+CACHED = 60_000
 
 
 class Cache:
