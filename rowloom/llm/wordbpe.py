@@ -33,8 +33,8 @@ WORD_ENDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{SP
 ASCII_WORD_ENDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^\t-\r A-Za-z0-9]+")
 #: Pre-tokens encoded at once.
 MADE = 5_000
-#: Pre-tokens that each of the two generations of a worker's cache holds at most: some 25 MB for both.
-CACHED = 60_000
+#: Pre-tokens that each of the two generations of a worker's cache holds at most: some 100 MB for both.
+CACHED = 250_000
 
 
 class Cache:
@@ -121,17 +121,25 @@ class Encoder:
     def ids(self, batch: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         split = [self.pre_tokens(text) for text in batch]
-        met = self.cache.known(set().union(*filter(None, split)))
+        young = self.cache.young.get
+        found = [None if words is None else list(map(young, words)) for words in split]
+        holes = [() if parts is None else [i for i, part in enumerate(parts) if part is None] for parts in found]
+        met = self.cache.known({words[i] for words, at in zip(split, holes) for i in at})
         missing = [word for word, raw in met.items() if raw is None]
         for start in range(0, len(missing), MADE):
             names = missing[start : start + MADE]
             for name, ids in zip(names, self.encode_words(names)):
                 met[name] = array("I", ids).tobytes()
                 self.cache.put(name, met[name])
-        return [
-            np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4") if words is None else np.frombuffer(b"".join(map(met.__getitem__, words)), "<u4")
-            for text, words in zip(batch, split)
-        ]
+        out = []
+        for text, words, parts, at in zip(batch, split, found, holes):
+            if words is None:
+                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4"))
+                continue
+            for i in at:
+                parts[i] = met[words[i]]
+            out.append(np.frombuffer(b"".join(parts), "<u4"))
+        return out
 
 
 @lru_cache(maxsize=1)
