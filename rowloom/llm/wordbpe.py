@@ -24,8 +24,10 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 NUMBERS = "0-9²³¹¼-¾"
 SPACES = r"\t-\r \x85\xa0"
-#: Texts of these characters only are split here: up to U+024F, dashes, quotes, bullets, euro sign.
-PLAIN = re.compile("[^\x00-\x1b -ɏ‐-‧‰-⁞€]")
+#: Texts of these characters only are split here: those up to U+024F whose lower case stays there, dashes, quotes, bullets,
+#: euro sign.
+_NEAR = "".join(c for c in map(chr, range(0x250)) if max(c.lower()) <= "ɏ" and c not in "\x1c\x1d\x1e\x1f")
+PLAIN = re.compile(f"[^{re.escape(_NEAR)}‐-‧‰-⁞€]")
 #: Byte-level pre-tokens of plain text, as the files' pattern splits them.
 BYTE_LEVEL = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 #: Pre-tokens with word ends, of normalised plain text.

@@ -31,6 +31,18 @@ def test_encoder(path):
     assert [x.tolist() for x in made.ids(texts)] == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_encoder_on_all_latin_letters(path):
+    """Every character up to U+024F beside letters, marks, digits and quotes: lower case of some lies beyond."""
+    made, library = wordbpe.Encoder(path), Tokenizer.from_file(path)
+    every = list(map(chr, range(0x250)))
+    texts = [a + b for a in every for b in ("a", "Z", "1", "'s", " ", "\u0301", "é", "!", "’")] + [b + a for a in every for b in ("a", "Z", "1", "'", "é", " ")]
+    rng = random.Random(1)
+    texts += ["".join(rng.choice([*every, *"‐–’“•…€ \n  "]) for _ in range(rng.randrange(1, 30))) for _ in range(3_000)]
+    texts += ["KƆKƆƆ", "WƆN", "NUNƆLA", "AKƐNDE", "HAƁAKA", "SOƊE", "(ƆSƐ)", "MƱA"]
+    assert [x.tolist() for x in made.ids(texts)] == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_token_counts(spark):
     rows = [(i, t, "s") for i, t in enumerate(TEXTS)] + [(None, "x y", "s"), (1, "again", None), (1, "again", None)]
     library = Tokenizer.from_file(BYTE)
