@@ -263,19 +263,21 @@ SELECT conv_id, part_no, count(*)::INT AS n_items, string_agg(text, chr(10) || c
 
 @registered(PARTS_SQL)
 def pack_texts(spark, sf_dir):
-    return pack.greedy_parts_long(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text", most=400)
+    return pack.packed_parts(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text", most=400)
 
 
 @registered(f"""WITH p AS ({PARTS_SQL}) SELECT conv_id, count(*) AS n_parts, max(part) FILTER (part_no = 1) AS comments_1, max(part) FILTER (part_no = 2) AS comments_2, max(part) FILTER (part_no = 3) AS comments_3 FROM p GROUP BY conv_id""")
 def part_columns(spark, sf_dir):
-    parts = pack.greedy_parts_long(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text", most=400)
+    parts = pack.packed_parts(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text", most=400)
     return pack.part_columns(parts, "conv_id", 3)
 
 
-@registered("""WITH d AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) AS rn FROM documents),
-s AS (SELECT m AS merge_no, slot, ('0x' || md5('merge|' || m || '|' || slot)[1:13])::BIGINT % (SELECT count(*) FROM d) + 1 AS rn FROM range(1, 101) a(m), range(1, 33) b(slot)),
-p AS (SELECT merge_no, rn, row_number() OVER (PARTITION BY merge_no ORDER BY min(slot)) AS nth FROM s GROUP BY merge_no, rn QUALIFY nth <= 4)
-SELECT merge_no, string_agg(doc_id::VARCHAR, ', ' ORDER BY doc_id) AS ids, string_agg(text, chr(10) || '-----------' || chr(10) ORDER BY doc_id) AS text FROM p JOIN d USING (rn) GROUP BY merge_no""")
+@registered("""WITH RECURSIVE d AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) AS rn FROM documents), n AS (SELECT count(*) AS n, 4 * greatest(4, length(bin(count(*)))) AS rounds FROM documents),
+p(merge_no, slot, r, x) AS (SELECT m, s, 0, s FROM range(1, 101) a(m), range(4) b(s)
+ UNION ALL SELECT merge_no, slot, r + 1, CASE WHEN ('0x' || md5('merge|' || merge_no || '|' || (r + 1) || '|' || greatest(x, y))[1:13])::BIGINT % 2 = 1 THEN y ELSE x END
+ FROM (SELECT p.*, ((('0x' || md5('merge|' || merge_no || '|' || (r + 1))[1:13])::BIGINT - x) % n + n) % n AS y FROM p, n WHERE r < rounds))
+SELECT merge_no, string_agg(doc_id::VARCHAR, ', ' ORDER BY doc_id) AS ids, string_agg(text, chr(10) || '-----------' || chr(10) ORDER BY doc_id) AS text
+FROM p JOIN n ON r = rounds JOIN d ON rn = x + 1 GROUP BY merge_no""")
 def chunk_merge(spark, sf_dir):
     """A hundred merges of four documents, drawn from all."""
     return pack.chunk_merges(table(spark, sf_dir, "documents"), "doc_id", "text", k=4, times=100)
