@@ -257,8 +257,7 @@ def until_blanks(df: DataFrame, script: str, pos: str, blank: Column, run: int =
     ended = F.col("_blank")
     for back in range(1, run):
         ended = ended & F.coalesce(F.lag("_blank", back).over(inside), F.lit(False))
-    # read twice: by the chunks' sums, and with what follows from them
-    rows = reused(rows.withColumns({"_at": F.row_number().over(inside), "_ended": ended}))
+    rows = rows.withColumns({"_at": F.row_number().over(inside), "_ended": ended})
     said = ~F.col("_blank")
     chunks = rows.groupBy("_script", "_chunk").agg(
         F.count(F.lit(1)).alias("_n"), F.min(F.when(said, F.col("_at"))).alias("_first"), F.max(F.when(said, F.col("_at"))).alias("_last"), F.min(F.when(F.col("_ended"), F.col("_at"))).alias("_run"))

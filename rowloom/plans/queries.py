@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions import html, jsonx, text, timefmt
 from rowloom.operators import changes, index, ingest, metrics, pack, transcripts
-from rowloom.sources import readers, shared, writers
+from rowloom.sources import readers, runs, shared, writers
 from rowloom.streaming import feed
 
 QUERIES = {}
@@ -634,12 +634,14 @@ def table_versions(spark, sf_dir):
 
 @registered("""SELECT row_number() OVER (ORDER BY fresh, s_suppkey) AS "STT", s_suppkey, s_name FROM (SELECT 0 AS fresh, s_suppkey, s_name FROM supplier WHERE s_nationkey < 12 UNION ALL SELECT 1, s_suppkey, s_name FROM supplier WHERE s_nationkey >= 12)""")
 def appended_rows(spark, sf_dir):
-    """Rows appended to a stored table and all of them numbered anew."""
+    """Rows appended to a stored table and numbered on, in two goes; what is stored stays as it is."""
     root, rows = shared.scratch(spark, "append"), table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    stored = rows.where("s_nationkey < 12").select(F.lit(0).cast("long").alias("STT"), "s_suppkey", "s_name")
-    writers.write_version(stored, root, "suppliers", "1")
-    writers.append_version(rows.where("s_nationkey >= 12").select(F.lit(0).cast("long").alias("STT"), "s_suppkey", "s_name"), root, "suppliers", "2", "s_suppkey")
-    return writers.read_version(spark, root, "suppliers")
+    runs.write_numbered(rows.where("s_nationkey < 12").select("s_suppkey", "s_name"), root, "suppliers", "1", "s_suppkey")
+    fresh = rows.where("s_nationkey >= 12")
+    middle = fresh.agg(F.expr("percentile(s_suppkey, 0.5)")).first()[0] or 0
+    runs.append_numbered(fresh.where(F.col("s_suppkey") <= middle).select("s_name", "s_suppkey"), root, "suppliers", "2", "s_suppkey")
+    runs.append_numbered(fresh.where(F.col("s_suppkey") > middle).select("s_suppkey", "s_name"), root, "suppliers", "3", "s_suppkey")
+    return runs.read_numbered(spark, root, "suppliers")
 
 
 @registered("""SELECT CASE WHEN o_totalprice > 100000 THEN 'large' ELSE 'small' END AS label, o_orderkey, o_totalprice FROM orders""")
@@ -669,6 +671,19 @@ def page_records(spark, sf_dir):
     return readers.record_pages(spark, path, "struct<nation:string,id:long,name:string>", multi_line=False)
 
 
+@registered("""WITH k AS (SELECT event_id, hash_no, event_type FROM (SELECT event_id, event_id % 5 AS hash_no, event_type FROM events))
+SELECT event_id, CASE WHEN hash_no = 4 THEN 'late' ELSE event_type END AS rating, CASE hash_no WHEN 4 THEN 9 ELSE hash_no END AS version FROM k""")
+def keyed_runs(spark, sf_dir):
+    """Ten small upserts into a keyed table, the last of which replaces a fifth of the rows; runs are merged on the way."""
+    root, events = shared.scratch(spark, "keyed"), table(spark, sf_dir, "events")
+    for number in range(10):
+        part = events.where(F.col("event_id") % 5 == (number if number < 5 else 4 if number == 9 else -1))
+        rating = F.lit("late") if number == 9 else F.col("event_type")
+        rows = part.select("event_id", rating.alias("rating"), F.lit(number).cast("long").alias("version"))
+        runs.upsert(rows, root, "ratings", str(number), "event_id", "version", fan_in=3)
+    return runs.read_latest(spark, root, "ratings", "event_id", "version")
+
+
 @registered(f"""WITH old AS ({OLD}) SELECT event_id, rating FROM old
 UNION ALL SELECT e.event_id, e.event_type FROM events e LEFT JOIN old USING (event_id) WHERE old.event_id IS NULL OR old.rating IS DISTINCT FROM e.event_type""")
 def feed_state(spark, sf_dir):
@@ -679,4 +694,16 @@ def feed_state(spark, sf_dir):
     for number, shot in enumerate(shots):
         shot.select(F.col("event_id").cast("long").alias("event_id"), "rating", F.lit(number).cast("long").alias("snapshot_at")).write.mode("append").parquet(landed)
         feed.run_feed(spark, landed, schema, root, f"{root}/checkpoint", "event_id", "rating", lambda changed, batch: None, files_per_batch=10_000)
-    return writers.read_version(spark, root, "state").select("event_id", "rating")
+    return feed.feed_log(spark, root).select("event_id", "rating")
+
+
+@registered("""SELECT event_id, event_type AS rating FROM events""")
+def feed_latest(spark, sf_dir):
+    """The same two snapshots into a state without history: the latest rating of every record."""
+    root, events = shared.scratch(spark, "feed"), table(spark, sf_dir, "events")
+    landed, schema = f"{root}/landed", "event_id long, rating string, snapshot_at long"
+    shots = [old_ratings(events), events.select("event_id", F.col("event_type").alias("rating"))]
+    for number, shot in enumerate(shots):
+        shot.select(F.col("event_id").cast("long").alias("event_id"), "rating", F.lit(number).cast("long").alias("snapshot_at")).write.mode("append").parquet(landed)
+        feed.run_feed(spark, landed, schema, root, f"{root}/checkpoint", "event_id", "rating", lambda changed, batch: None, files_per_batch=10_000, history=False)
+    return feed.feed_state(spark, root, "event_id").select("event_id", "rating")

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.functions.jsonx import record_payload
-from rowloom.operators.index import append_renumbered
 
 
 def versions(spark: SparkSession, root: str, name: str) -> list[str]:
@@ -36,12 +35,6 @@ def read_version(spark: SparkSession, root: str, name: str, version: str | None
     return spark.read.parquet(f"{root}/{name}/v={version or have[-1]}")
 
 
-def append_version(df: DataFrame, root: str, name: str, version: str, *order: str) -> str:
-    """The latest version and df, renumbered, as a new version. A table that is not there is an error."""
-    stored = read_version(df.sparkSession, root, name)
-    return write_version(append_renumbered(stored, df, *order), root, name, version)
-
-
 def write_outputs(df: DataFrame, outputs: dict[str, Callable[[DataFrame], DataFrame]], root: str, version: str) -> dict[str, str]:
     """Several named tables out of one source, which is computed once."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
