@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.sources.shared import scratch
+
 NO_INFORMATION = "no information"
 _MAP = "map<string,string>"
 
@@ -116,10 +118,15 @@ def answers_dropped(df: DataFrame, answer: str) -> DataFrame:
 
 def answers_table(df: DataFrame, answer: str, *ids: str, keys: list[str] | None = None, most_columns: int = 500) -> DataFrame:
     """answer_items with a text column for each of the keys; a key that an item lacks is null. Without keys, for each one
-    that occurs, in order of first appearance, which takes a pass of its own over the answers; more than most_columns of
-    them is an error."""
+    that occurs, in order of first appearance; more than most_columns of them is an error.
+
+    Without keys, the parsed items are written once to the shared folder; keys are gathered from there, by an aggregation
+    that combines on the map side, and the columns are read from there, so that no answer is parsed twice."""
     items = answer_items(df, answer, *ids).select(*ids, "pos", F.from_json("item", _MAP).alias("fields"))
     if keys is None:
+        path = scratch(df.sparkSession, "answers")
+        items.write.parquet(path)
+        items = df.sparkSession.read.schema(items.schema).parquet(path)
         rows = (
             items.select(*ids, "pos", F.posexplode(F.map_keys("fields")).alias("n", "key"))
             .groupBy("key").agg(F.min(F.struct(*ids, "pos", "n")).alias("first"))

@@ -47,15 +47,23 @@ def transcript_lines(df: DataFrame, column: str, *ids: str, strict_hours: bool =
     return rows.withColumn("ts_s", line_seconds(F.col("line"), strict_hours)).where("ts_s IS NOT NULL").select(*ids, "pos", "ts_s", "line")
 
 
-def section_windows(lines: DataFrame, wanted: DataFrame, session: str, pad: int = 120) -> DataFrame:
-    """(session, section, window): the lines within `pad` seconds of each section, both ends included.
+def section_windows(lines: DataFrame, wanted: DataFrame, session: str, pad: int = 120, bin_seconds: int = 600, block: int = 4_096) -> DataFrame:
+    """(session, section, window): the lines within `pad` seconds of each section, both ends included, in order of pos.
 
     lines: session, pos, ts_s, line. wanted: session, section, start_s, end_s; a section without start or end, or
-    without a line, gives no row. An equi-join on the session with the range as a further condition."""
+    without a line, gives no row. Lines are dealt by session and time bin and sections copied to the bins that they cover, as
+    far as the session has lines; so a session's lines are spread, however many it has. Lines are first joined within
+    blocks of positions, then the blocks."""
+    last = lines.groupBy(F.col(session).alias("_last_of")).agg(F.max("ts_s").alias("_last"), F.min("ts_s").alias("_start"))
     spans = wanted.where("start_s IS NOT NULL AND end_s IS NOT NULL").select(
         F.col(session).alias("_session"), "section", F.greatest(F.lit(0), F.col("start_s") - pad).alias("_from"), (F.col("end_s") + pad).alias("_to"))
-    joined = lines.join(spans, (lines[session] == spans["_session"]) & F.col("ts_s").between(F.col("_from"), F.col("_to")))
-    return ordered_join(joined, "line", "\n", ["pos"], session, "section", name="window")
+    spans = spans.join(last, F.col("_session") == F.col("_last_of")).withColumns({"_a": F.greatest("_from", "_start"), "_b": F.least("_to", "_last")}).where("_a <= _b")
+    bin_of = lambda c: F.floor(F.col(c) / bin_seconds)
+    covered = spans.select("_session", "section", "_from", "_to", F.explode(F.sequence(bin_of("_a"), bin_of("_b"))).alias("_bin"))
+    same = (lines[session] == covered["_session"]) & (bin_of("ts_s") == F.col("_bin")) & F.col("ts_s").between(F.col("_from"), F.col("_to"))
+    found = lines.join(covered, same).select(session, "section", "pos", "line", F.floor(F.col("pos") / block).alias("_block"))
+    parts = ordered_join(found, "line", "\n", ["pos"], session, "section", "_block", name="_part")
+    return ordered_join(parts, "_part", "\n", ["_block"], session, "section", name="window")
 
 
 def missing_sections(df: DataFrame, column: str, session: str, names: list[str]) -> DataFrame:
@@ -73,21 +81,34 @@ def score_requests(windows: DataFrame, prompts: DataFrame, session: str) -> Data
     return rows.select(session, F.concat_ws("_", "section", "tag").alias("key"), "prompt", "window")
 
 
-def paired_names(videos: DataFrame, audio: DataFrame, folder: str) -> DataFrame:
+def _grams(text: Column, n: int) -> Column:
+    """All pieces of n characters; none where the text is shorter."""
+    return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda at: F.substring(text, at, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+
+def paired_names(videos: DataFrame, audio: DataFrame, folder: str, gram: int = 3) -> DataFrame:
     """(folder, base, first_role, second_role): for each video of a folder the audio files whose name contains its base
     name, one for each role, both needed. HV is tested before mentor; the last name of a role counts.
 
-    videos: folder, base. audio: folder, name. A name is cut into its substrings of the lengths that bases have (a name is
-    short, so are they few), and these are joined to the bases by equality, so that no folder is compared all against
-    all. An empty base is in every name of its folder and pairs nothing."""
-    lengths = sorted(row[0] for row in videos.select(F.length("base").alias("n")).where("n > 0").distinct().collect())
-    none, size = F.array().cast("array<string>"), F.length("name")
-    cut = lambda n: F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda at: F.substring(F.col("name"), at, F.lit(n)))).otherwise(none)
-    cuts = F.flatten(F.array(*map(cut, lengths))) if lengths else none
-    parts = audio.select(folder, "name", F.explode(F.array_distinct(cuts)).alias("base"))
-    found = videos.join(parts, [folder, "base"])
+    videos: folder, base. audio: folder, name. An index of the folders' names by their pieces of up to `gram` characters (so
+    as many rows as names have characters, times `gram`) tells how many names hold a piece; each base is looked up by its rarest
+    piece alone, and what is found is verified. A base with a piece that no name has is left out before that. An
+    empty base pairs nothing, nor does anything in a null folder."""
+    def sized(c: Column) -> Column:
+        """Pieces of `gram` characters, of a shorter text the whole."""
+        made = F.array(c)
+        for n in range(1, gram + 1):
+            made = F.when(F.length(c) >= n, F.array_distinct(_grams(c, n))).otherwise(made)
+        return made
+
+    index = audio.select(F.col(folder).alias("_in"), "name", F.explode(F.array_distinct(F.flatten(F.array(*(_grams(F.col("name"), n) for n in range(1, gram + 1)))))).alias("_piece"))
+    counts = index.groupBy("_in", "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    bases = videos.select(folder, "base").distinct().where("base <> ''").select(folder, "base", F.explode(sized(F.col("base"))).alias("_part"))
+    known = bases.join(counts, (F.col(folder) == F.col("_in")) & (F.col("_part") == F.col("_piece")), "left")
+    rarest = known.groupBy(folder, "base").agg(F.min(F.coalesce("_n", F.lit(0))).alias("_least"), F.min_by("_part", F.struct("_n", "_part")).alias("_key")).where("_least > 0")
+    found = index.join(rarest.select(F.col(folder).alias("_of"), "base", "_key"), (F.col("_in") == F.col("_of")) & (F.col("_piece") == F.col("_key"))).where(F.col("name").contains(F.col("base")))
     role = F.when(F.col("name").contains("HV"), "first").when(F.col("name").contains("mentor"), "second")
-    rows = found.withColumn("_role", role).groupBy(folder, "base").agg(
+    rows = found.withColumn("_role", role).groupBy(F.col("_of").alias(folder), "base").agg(
         F.max(F.when(F.col("_role") == "first", F.col("name"))).alias("first_role"), F.max(F.when(F.col("_role") == "second", F.col("name"))).alias("second_role"))
     return rows.where("first_role IS NOT NULL AND second_role IS NOT NULL")
 
