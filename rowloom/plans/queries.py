@@ -456,14 +456,33 @@ def url_ids(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.video_id(video).alias("video"), text.playlist_id(playlist).alias("playlist"), ref["ref_type"].alias("ref_type"), ref["ref_value"].alias("ref_value"), text.user_name(channel).alias("user_name"))
 
 
-@registered("""SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS lang, 'Description not available' AS description,
-array_to_string(list_transform(regexp_extract_all(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'), '\\s+', ' ', 'g'))), ' | ') AS headings,
-array_to_string(list_transform(regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'), '\\s+', ' ', 'g'))), ', ') AS items,
+#: A text of a page without tags, its character references decoded; the last semicolon may be missing.
+SHOWN_SQL = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '<[^>]*>', '', 'g'), '&quot;?', '\"', 'g'), '&middot;?', '·', 'g'), '&copy;?', '©', 'g'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g'))"
+
+
+@registered(f"""SELECT page_id, {SHOWN_SQL.format("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS title, nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS lang, 'Description not available' AS description,
+array_to_string(list_transform(regexp_extract_all(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), lambda x: {SHOWN_SQL.format("x")}), ' | ') AS headings,
+array_to_string(list_transform(regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1), lambda x: {SHOWN_SQL.format("x")}), ', ') AS items,
 length(list_distinct(regexp_extract_all(html, '<a [^>]*?href="([^"]*)"', 1)))::INT AS n_links FROM pages""")
 def page_extract(spark, sf_dir):
-    h = F.col("html")
-    return table(spark, sf_dir, "pages").select("page_id", html.title(h).alias("title"), html.language(h).alias("lang"), html.meta_description(h).alias("description"),
-        F.array_join(html.headings(h), " | ").alias("headings"), html.list_items(h).alias("items"), F.size(html.links(h)).alias("n_links"))
+    pages = table(spark, sf_dir, "pages").select("page_id", html.page_fields(F.col("html")).alias("f"))
+    return pages.select("page_id", "f.title", "f.lang", "f.description", F.array_join("f.headings", " | ").alias("headings"), html.list_items(F.col("f")).alias("items"), F.size("f.links").alias("n_links"))
+
+
+@registered("""WITH p AS (SELECT page_id, md5(url)[1:11] AS v, page_id % 4 AS k FROM pages)
+SELECT page_id, 'Fields & "more" of ' || page_id AS description, 'https://www.youtube.com/watch?v=' || v || CASE k WHEN 0 THEN '' WHEN 1 THEN ' https://www.youtube.com/watch?v=' || v ELSE ' https://www.youtube.com/watch?v=x' || page_id END AS videos,
+'Team: <' || v || '>, Role: page ' || page_id || CASE WHEN k = 3 THEN ', Empty: ' ELSE '' END AS labels FROM p""")
+def page_details(spark, sf_dir):
+    """Descriptions, videos and labels written into the pages in the forms that pages have them in, and read back."""
+    n, v = F.col("page_id"), F.substring(F.md5("url"), 1, 11)
+    meta = F.when(n % 2 == 0, F.format_string("<META content='Fields &amp; &quot;more&quot; of %d' NAME=Description>", n)).otherwise(F.format_string('<meta name="description" property="x" content="Fields &#38; &#x22;more&#34; of %d"/>', n))
+    frame = F.when(n % 4 == 0, F.lit("")).when(n % 4 == 1, F.concat(F.lit("<iframe src='//www.youtube.com/embed/"), v, F.lit("?rel=0'></iframe>"))).otherwise("")
+    video = F.concat(F.lit("<!-- <devsite-video video-id='no'> --><DevSite-Video\nclass=x VIDEO-ID="), v, F.lit(">"), frame, F.lit("</DevSite-Video>"))
+    direct = F.when(n % 4 >= 2, F.format_string('<IFRAME width=1 SRC="https://www.youtube.com/embed/x%d?start=3&amp;y=1"></IFRAME>', n)).otherwise(F.concat(F.lit('<iframe src="https://www.youtube.com/embed/'), v, F.lit('"></iframe>')))
+    labels = F.concat(F.lit("<DL><dt>Team<dd>&lt;"), v, F.format_string("&gt;</dd><DT> Role </DT><dd>page\n <b>%d</b>", n), F.when(n % 4 == 3, "<dt>Empty<dd>").otherwise(""), F.lit("</DL><dd>without a term</dd>"))
+    page = F.concat(F.col("html"), F.lit("<script>document.write('<dt>no</dt>')</script>"), meta, video, direct, labels)
+    fields = table(spark, sf_dir, "pages").select("page_id", html.page_fields(page).alias("f"))
+    return fields.select("page_id", "f.description", F.array_join("f.videos", " ").alias("videos"), F.array_join("f.labels", ", ").alias("labels"))
 
 
 @registered("""SELECT doc_id, CASE WHEN text IS NULL THEN 'no text' WHEN regexp_matches(text, '(?i)(^|[^\\pL\\pN])(license|released|the)($|[^\\pL\\pN])') THEN 'keyword' ELSE 'none' END AS keyword_group FROM documents""")

@@ -72,3 +72,47 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path)
     return lines.where(F.col("value").rlike(r"^\d+\. ")).select(
         F.regexp_extract("value", r"^(\d+)\. (.*)$", 1).cast("long").alias("n"), F.trim(F.regexp_extract("value", r"^(\d+)\. (.*)$", 2)).alias("url"))
+
+
+def key_ranges(spark: SparkSession, column: str, partitions: int = 16, **options: str) -> list[str]:
+    """Conditions on a whole-number key that split a relational table into some `partitions` scans of about the same number of
+    rows, every row in one: the source itself counts its keys in 256 ranges of equal width and then, where a range holds more
+    than a quarter of a partition's rows, in ranges within. So gaps and skew are seen, and a value that many rows share
+    stands alone. Rows without a key get a scan of their own. A table without rows is one scan."""
+    table = options["dbtable"]
+
+    def rows(sql: str) -> list:
+        return relation(spark, **(options | {"dbtable": f"({sql}) counted"})).collect()
+
+    low, high, n, nulls = rows(f"SELECT MIN({column}) AS a, MAX({column}) AS b, COUNT({column}) AS n, COUNT(*) - COUNT({column}) AS m FROM {table}")[0]
+    absent = [f"{column} IS NULL"] if nulls else []
+    if not n:
+        return absent or ["1 = 1"]
+    if low != int(low) or high != int(high) or isinstance(low, (bool, float)):
+        raise ValueError(f"{column} holds no whole numbers")
+
+    def counted(start: int, end: int) -> list[tuple[int, int]]:
+        """(first key, rows) of ranges between start and end, the latter not included."""
+        width = max(1, -(-(end - start) // 256))
+        found = rows(f"SELECT b, COUNT(*) AS n FROM (SELECT FLOOR(({column} - ({start})) / {width}) AS b FROM {table} WHERE {column} >= {start} AND {column} < {end}) r GROUP BY b")
+        out = []
+        for b, m in sorted((int(b), int(m)) for b, m in found):
+            first = start + b * width
+            out += counted(first, min(end, first + width)) if width > 1 and m * 4 * partitions > n else [(first, m)]
+        return out
+
+    bounds, held = [], 0
+    for first, m in counted(int(low), int(high) + 1):
+        if held and (held + m) * partitions > n:
+            bounds.append(first)
+            held = 0
+        held += m
+    cuts = [None, *bounds, None]
+    ranges = [" AND ".join([f"{column} >= {a}"] * (a is not None) + [f"{column} < {b}"] * (b is not None)) or f"{column} IS NOT NULL" for a, b in zip(cuts, cuts[1:])]
+    return ranges + absent
+
+
+def relation_in_ranges(spark: SparkSession, column: str, partitions: int = 16, **options: str) -> DataFrame:
+    """A relational scan split by key_ranges."""
+    rest = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=key_ranges(spark, column, partitions, **options), properties=rest)

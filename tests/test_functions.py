@@ -114,8 +114,30 @@ def test_sections(spark):
 
 def test_page_fields(spark):
     page = '<html lang="en"><title>T</title><li>a <b>b</b></li><devsite-video video-id="v1"><iframe src="https://www.youtube.com/embed/v1?x"></iframe></devsite-video><iframe src="https://www.youtube.com/embed/v2"></iframe><dt>k</dt><dd>v</dd>'
-    assert values(spark, [page], html.title(C)) == ["T"]
-    assert values(spark, [page, ""], html.list_items(C)) == ["a b", "Tools information not available"]
-    assert values(spark, [page], F.array_join(html.video_links(C), " ")) == ["https://www.youtube.com/watch?v=v1 https://www.youtube.com/watch?v=v2"]
-    assert values(spark, [page], html.label_values(C)) == ["k: v"]
-    assert values(spark, [page], html.meta_description(C)) == ["Description not available"]
+    fields = html.page_fields(C)
+    watch = "https://www.youtube.com/watch?v="
+    assert values(spark, [page], fields["title"]) == ["T"]
+    assert values(spark, [page, ""], html.list_items(fields)) == ["a b", "Tools information not available"]
+    # within a video's element the frame is listed as well; of other frames those that are not there yet
+    assert values(spark, [page], fields["videos"]) == [[f"{watch}v1", f"{watch}v1", f"{watch}v2"]]
+    assert values(spark, [page], fields["labels"]) == [["k: v"]]
+    assert values(spark, [page, None], fields["description"]) == ["Description not available", None]
+
+
+VARIANTS = [
+    ("<HTML LANG='vi'>", "lang", "vi"), ("<html class=a lang=de >", "lang", "de"), ("<p>x", "lang", None),
+    ("<TITLE>\n A &amp;  B&eacute; </TITLE>", "title", "A & Bé"), ("<title>one</title><title>two</title>", "title", "one"), ("<!-- <title>no</title> -->", "title", ""), ("<title>open", "title", "open"),
+    ("<meta content=\"c's\" name='Description'>", "description", "c's"), ('<META CONTENT=one NAME=description><meta name="description" content="two">', "description", "one"), ("<meta property=description content=x>", "description", "Description not available"),
+    ("<h1 class='a>b'>x<br>y</h1><H1>z</H1>", "headings", ["xy", "z"]), ("<script>'<h1>no</h1>'</script><style><h1>no</h1></style>", "headings", []),
+    ("<ul><li>a<li>b <ul><li>c</ul> d</ul><li>e", "items", ["a", "c", "b c d", "e"]), ("<ol><li>1</ol>tail", "items", ["1"]), ("<li>a<script>x</script>b", "items", ["ab"]),
+    ("<a name=x>no</a><A HREF='/p?a=1&amp;b=2'>1</A><a class=c href=/q>2</a><a href=/q>3</a>", "links", ["/p?a=1&b=2", "/q"]),
+    ("<dl><dt>a<dd>1<dt>b</dt><dd> 2\n3 </dl><dd>no term</dd>", "labels", ["a: 1", "b: 2 3"]), ("<dt>k<dt>l<dd>v<dd>w", "labels", ["l: v"]),
+    ("<iframe src='https://www.youtube.com/embed/q'></iframe><iframe src='https://other.org/embed/q'></iframe><iframe></iframe>", "videos", ["https://www.youtube.com/watch?v=q"]),
+    ("<", "items", []), ("<li" * 200 + "&#0;" + "</" * 50, "headings", []),
+]
+
+
+@pytest.mark.parametrize("page, field, wanted", VARIANTS)
+def test_page_variants(page, field, wanted):
+    found = dict(zip(html.FIELDS.names, html._Page(page).fields()))
+    assert found[field] == wanted

@@ -96,3 +96,20 @@ def test_feed(spark, tmp_path):
     land([("a", "1", 3)])
     run()
     assert seen == [[("a", "1", "new"), ("b", "1", "new")], [("a", "2", "changed"), ("c", "1", "new")], [("a", "1", "changed")]]
+
+
+def test_relation_in_even_ranges(spark):
+    """Keys with gaps, a value that a third of the rows share, negative ones and nulls, in a database of this process."""
+    options = readers.jdbc_options("jdbc:derby:memory:rowloom_ranges;create=true", "SKEWED", "APP", "x") | {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    keys = [7] * 1_000 + list(range(-500, 500)) + [10**9 + 3 * i for i in range(900)] + [4 * 10**12, None, None, None]
+    spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "ID long, N int").repartition(3).write.format("jdbc").options(**options).mode("overwrite").save()
+    ranges = readers.key_ranges(spark, "ID", 8, **options)
+    assert ranges[-1] == "ID IS NULL" and 8 <= len(ranges) <= 18
+    df = readers.relation_in_ranges(spark, "ID", 8, **options)
+    assert sorted(r.N for r in df.collect()) == list(range(len(keys)))
+    sizes = [r.n for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert df.rdd.getNumPartitions() == len(ranges) and sorted(sizes)[-2] <= len(keys) / 8 + 10 and max(sizes) <= 1_100
+    none = options | {"dbtable": "(SELECT * FROM SKEWED WHERE N < 0) t0"}
+    assert readers.key_ranges(spark, "ID", 8, **none) == ["1 = 1"] and readers.relation_in_ranges(spark, "ID", 8, **none).count() == 0
+    one = options | {"dbtable": "(SELECT * FROM SKEWED WHERE N < 100) t1"}
+    assert readers.key_ranges(spark, "ID", 8, **one) == ["ID IS NOT NULL"]
