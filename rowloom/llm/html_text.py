@@ -2,9 +2,9 @@
 
 A page is parsed into text blocks and element subtrees, each subtree with a hash of its tags and text. Subtrees are
 counted per host in Spark, over pages of unlike content; a subtree that recurs on many of its host's pages is the site's
-template, and all blocks in it are deleted. What does not recur, or on too small a host to tell, is left to rules on tags,
-roles and class names (navigation, forms, adverts, reader comments and the like). Where a page has article elements, the
-text is theirs.
+template, and all blocks in it are deleted. What does not recur, or on too small a host to tell, is left to rules on tags
+and roles (navigation, forms and the like) and on class names with a second sign (adverts, reader comments). Where a page
+has article elements that hold a good part of its text, the text is theirs.
 
 Only containers are template: a paragraph, heading, list item or cell that recurs by itself is a text that pages share.
 Deletion and rules each take blocks away, so their order does not matter; pages of whose main text no subtree could be
@@ -38,22 +38,37 @@ BLOCK = frozenset(
 #: Elements that are not main text by their tag or their role.
 OUTSIDE = frozenset("nav header footer aside form menu button select textarea dialog head fieldset search label input".split()) | RAW
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-#: Words in a class or id that name something else than main text; a class that says what its element has or lacks
-#: (has-sidebar) names no such thing.
-NAMES = re.compile(
-    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|nav|navbar|navigation|menu|breadcrumbs?|"
-    r"header|masthead|footer|sidebar|side|widgets?|related|recommend\w*|share|sharing|social|subscribe|newsletter|signup|login|search|"
-    r"comments?|commentlist|disqus|respond|responses|replies|reply|pagination|pager|toolbar|skip|copyright|legal)\d*",
+#: Words in a class or id that name something else than main text: such as say so wherever they stand, and such as do
+#: only beside words for the parts of a page. A class that says what its element has or lacks (has-sidebar) names no such thing.
+SURE = re.compile(
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|popup|modal|navbar|nav|navigation|breadcrumbs?|masthead|footer|sidebar|newsletter|"
+    r"comments?|commentlist|disqus|pagination|pager|toolbar|copyright)\d*",
     re.IGNORECASE,
 )
+UNSURE = re.compile(
+    r"(?:banner|notice|alert|overlay|menu|header|side|widgets?|related|recommend\w*|share|sharing|social|subscribe|signup|login|search|respond|responses|replies|reply|skip|legal)\d*",
+    re.IGNORECASE,
+)
+PARTS = frozenset(
+    "site page main post posts blog article box bar block wrap wrapper container area section list item items link links button buttons top bottom "
+    "left right inner outer global primary secondary mobile desktop icons icon module unit slot col column row panel form small".split()
+)
 STATES = ("has-", "no-", "with-", "without-", "is-", "not-")
 
 
-def names_other(given: dict, in_article: bool) -> bool:
-    """Whether an element's class or id names something else than main text. In an article, its own header doesn't."""
+def names_other(given: dict, in_article: bool) -> str:
+    """`sure` or `unsure` where an element's class or id names something else than main text, else an empty text. In an
+    article, its own header doesn't."""
     names = f"{given.get('class') or ''} {given.get('id') or ''}".lower().split()
-    parts = (part for name in names if not name.startswith(STATES) for part in re.split("[_-]+", name))
-    return any(NAMES.fullmatch(part) and not (in_article and part == "header") for part in parts)
+    found = ""
+    for name in names:
+        parts = [part for part in re.split("[_-]+", name) if part and not part.isdigit()]
+        if name.startswith(STATES) or (in_article and "header" in parts):
+            continue
+        hits = [bool(SURE.fullmatch(part)) + 2 * bool(UNSURE.fullmatch(part)) for part in parts]
+        if any(hits) and all(hit or part in PARTS for hit, part in zip(hits, parts)):
+            found = "sure" if 1 in hits else found or "unsure"
+    return found
 
 
 #: Elements that a start tag closes when they are open (fixed values of HTML).
@@ -76,9 +91,10 @@ OWN = frozenset("tbody thead tfoot table ul ol dl figure article main".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "outside", "article", "digest", "deletable", "hash", "number")
+    __slots__ = ("tag", "parent", "outside", "article", "digest", "deletable", "hash", "number", "named")
 
-    def __init__(self, tag: str, parent: Node | None, outside: bool, article: bool, number: int):
+    def __init__(self, tag: str, parent: Node | None, outside: bool, article: bool, number: int, named: str = ""):
+        self.named = named
         self.tag, self.parent, self.outside, self.article, self.number = tag, parent, outside, article, number
         self.digest, self.hash = xxhash.xxh3_64(tag.encode()), 0
         self.deletable = tag in BLOCK and tag not in LEAVES and tag not in ("html", "body") and not (article and tag in OWN)
@@ -96,6 +112,7 @@ class Page(HTMLParser):
         self.holder = self.top
         self.raw = 0
         self.nodes = [self.top]
+        self.linked: dict[int, int] = {}  # characters of links, by the node that they lie in
         self.feed(html)
         self.close()
         self._flush()
@@ -118,7 +135,7 @@ class Page(HTMLParser):
         self.at = node.parent
 
     def _close_to(self, node: Node) -> None:
-        if node.tag in BLOCK or node.outside != node.parent.outside:
+        if node.tag in BLOCK or node.outside != node.parent.outside or node.named:
             self._flush()
         while self.at is not node:
             self._leave()
@@ -146,12 +163,12 @@ class Page(HTMLParser):
         if tag in _CLOSES and (found := self._open(*_CLOSES[tag])):
             self._close_to(found)
         given = dict(attrs)
-        named = tag not in ("html", "body", "article", "main") and names_other(given, self.at.article)
+        named = "" if tag in ("html", "body", "article", "main") else names_other(given, self.at.article)
         hidden = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in (given.get("style") or "").replace(" ", "")
         own_header = tag in ("header", "hgroup") and self.at.article
-        outside = self.at.outside or (tag in OUTSIDE and not own_header) or (given.get("role") or "").lower() in ROLES or named or hidden
-        node = Node(tag, self.at, outside, self.at.article or tag in ("article", "main") or (given.get("role") or "").lower() in ("main", "article"), len(self.nodes))
-        if outside != self.at.outside:
+        outside = self.at.outside or (tag in OUTSIDE and not own_header) or (given.get("role") or "").lower() in ROLES or hidden
+        node = Node(tag, self.at, outside, self.at.article or tag in ("article", "main") or (given.get("role") or "").lower() in ("main", "article"), len(self.nodes), named)
+        if outside != self.at.outside or named:
             self._flush()
         self.at = node
         self.open_tags[tag] += 1
@@ -188,15 +205,48 @@ class Page(HTMLParser):
         if not self.parts:
             self.holder = self.at
         self.parts.append(data)
+        if self.open_tags["a"] and not data.isspace():
+            self.linked[self.at.number] = self.linked.get(self.at.number, 0) + len(" ".join(data.split()))
         if not data.isspace():
             self.at.digest.update(data.encode("utf-8", "surrogatepass"))
 
 
+def _named_gone(page: Page, main: list[tuple[str, Node]]) -> list[bool]:
+    """For each node, whether it lies in an element that its class or id names as something else and for which a second sign
+    speaks: half of its text is links; or without all such elements there is a main text, no shorter than the
+    element where the name is unsure."""
+    n = len(page.nodes)
+    top, size, links = [-1] * n, [0] * n, [0] * n  # top: the outermost named element around each node
+    for node in page.nodes:
+        above = top[node.parent.number] if node.parent else -1
+        top[node.number] = above if above >= 0 else node.number if node.named else -1
+    rest = 0
+    for text, node in main:
+        if (at := top[node.number]) >= 0:
+            size[at] += len(text)
+        else:
+            rest += len(text)
+    for number, chars in page.linked.items():
+        if top[number] >= 0 and not page.nodes[number].outside:
+            links[top[number]] += chars
+    gone = [False] * n
+    for node in page.nodes:
+        if (at := top[node.number]) >= 0:
+            sure = page.nodes[at].named == "sure"
+            gone[node.number] = 2 * links[at] >= size[at] or (rest > 0 and (sure or size[at] <= rest))
+    return gone
+
+
 def main_blocks(page: Page) -> list[tuple[str, Node]]:
-    """The blocks that the rules leave: those of the article elements, or of the whole page without such, less the
-    elements that are never main text."""
+    """The blocks that the rules leave: those outside elements that are never main text or are named as something else
+    with a second sign. Of these only those of article elements, where these hold a third of the text or more; a shorter
+    article is a teaser beside the text."""
     main = [(text, node) for text, node in page.blocks if not node.outside]
-    return [(text, node) for text, node in main if node.article] or main
+    if any(node.named for node in page.nodes):
+        gone = _named_gone(page, main)
+        main = [(text, node) for text, node in main if not gone[node.number]]
+    articles = [(text, node) for text, node in main if node.article]
+    return articles if 3 * sum(len(text) for text, _ in articles) >= sum(len(text) for text, _ in main) else main
 
 
 def outline(html: str) -> dict:

@@ -80,13 +80,50 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("CC-BY-NC-3.0", "Licensed under CC BY-NC 3.0."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("EPL-1.0", "Eclipse Public License - v 1.0"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
 ]
 
+#: Variants of the Creative Commons notices, each in the versions given: short wording, long wording (fixed values).
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+_CC_VERSIONS = ("2.0", "2.5", "3.0", "4.0")
+TEMPLATES += [
+    (f"CC-{kind}-{version}", wording)
+    for kind, name in _CC.items() for version in _CC_VERSIONS
+    for wording in (f"Licensed under CC {kind} {version}.", f"This work is licensed under a Creative Commons {name} {version} {'International' if version == '4.0' else 'Unported' if version == '3.0' else 'Generic'} License.")
+]
+#: Identifiers that a line of the form `SPDX-License-Identifier: ...` may name.
+IDENTIFIERS = sorted({name for name, _ in TEMPLATES})
+_TAG = re.compile(r"SPDX-License-Identifier:[ \t]*\(?[ \t]*([A-Za-z0-9][A-Za-z0-9.+-]*)", re.IGNORECASE)
+#: Identifiers' endings that say how later versions count; without them they name the same text.
+_ENDINGS = re.compile(r"(?:-only|-or-later|\+)$", re.IGNORECASE)
+
+#: What tells short notices of one family apart: if a template's words name any of these, a run of its size that names
+#: others, or none, is another licence's or an unknown one's.
+_KINDS = {"sa": "sa", "sharealike": "sa", "nd": "nd", "noderivatives": "nd", "noderivs": "nd", "nc": "nc", "noncommercial": "nc", "lesser": "lesser", "library": "lesser", "affero": "affero"}
+_VERSION = re.compile(r"v?([0-9]+(?:\.[0-9]+)*)")
+#: Bigrams of a template up to which all its versions and kinds count; the words of longer ones stand for themselves.
+SHORT = 120
+
 _WORD = re.compile(r"[A-Za-z0-9]+(?:\.[0-9]+)*")
 
 
+def marks(found: list[str]) -> tuple[frozenset, str | None]:
+    """What a notice's words say of kind and version: the kinds named, and the first version, without an ending .0."""
+    version = None
+    for i, word in enumerate(found):
+        named = _VERSION.fullmatch(word)
+        if named and (i and found[i - 1] in ("version", "v", "license", "licence") or "." in word or word.startswith("v")):
+            version = re.sub(r"(\.0)+$", "", named[1])
+            break
+    return frozenset(_KINDS[word] for word in found if word in _KINDS), version
+
+
 def words(text: str) -> list[str]:
     """The normalised words: runs of ASCII letters and digits in lower case, dotted numbers whole."""
     return [word.lower() for word in _WORD.findall(text)]
@@ -118,10 +155,12 @@ class Scanner:
     def __init__(self, threshold: float, templates: list[tuple[str, str]]):
         self.threshold, self.factor = threshold, (2 - threshold) / threshold
         self.templates = [(name, pairs) for name, wording in templates if (pairs := bigrams(wording))]
+        self.marks = [marks(words(wording)) if len(pairs) <= SHORT else None for _, wording in templates if (pairs := bigrams(wording))]
         self.of: dict[tuple[str, str], list[int]] = {}
         for number, (_, pairs) in enumerate(self.templates):
             for pair in pairs:
                 self.of.setdefault(pair, []).append(number)
+        self.names = {_ENDINGS.sub("", name).lower(): name for name, _ in self.templates}
         self.sizes = np.array([len(pairs) for _, pairs in self.templates], np.int64)
         self.cover = ahocorasick.Automaton()
         for _, pairs in self.templates:
@@ -143,6 +182,15 @@ class Scanner:
     def possible(self, text: str) -> bool:
         return len(self.cover) > 0 and next(self.cover.iter(text.lower()), None) is not None
 
+    def tagged(self, text: str) -> list[Hit]:
+        """The first line of each licence that names it by its identifier."""
+        found: dict[str, Hit] = {}
+        for m in _TAG.finditer(text):
+            name = self.names.get(_ENDINGS.sub("", m[1]).lower())
+            if name and name not in found:
+                found[name] = Hit(name, 1.0, m.start(), m.end(1))
+        return list(found.values())
+
     def best(self, text: str) -> dict[str, Hit]:
         """The best run of words for each licence that has one at the threshold."""
         if not self.possible(text):
@@ -166,11 +214,22 @@ class Scanner:
         for number in sorted(wanted):
             name, template = self.templates[number]
             run = self._best_run(np.fromiter(map(template.__contains__, pairs), bool, len(pairs)), previous, len(template))
-            if run:
+            if run and self._agrees(number, found, run[1], run[2] + 1):
                 hit = Hit(name, run[0], spans[run[1]][0], spans[run[2] + 1][1])
                 best[name] = min(hit, best.get(name, hit), key=Hit.order)
         return best
 
+    def _agrees(self, number: int, found: list[str], first: int, last: int) -> bool:
+        """Whether the run's kind and version are those of its template. A version or kind may stand just outside the run, as
+        a run ends where the template's words do; a template without a version takes any."""
+        if self.marks[number] is None:
+            return True
+        kinds, version = self.marks[number]
+        around = found[max(0, first - 1) : last + 4]
+        own_kinds, own_version = marks(found[first : last + 1])
+        near_kinds, near_version = marks(around)
+        return kinds == own_kinds == near_kinds and (version is None or version == (own_version or near_version))
+
     def _best_run(self, shared: np.ndarray, previous: np.ndarray, size: int) -> tuple[float, int, int] | None:
         """(score, first bigram, last one) of the best run of bigrams, of (2 - t) / t times the template's size at most.
         It begins with a shared bigram, as a run without its first other one is no worse; runs from where too few follow
@@ -198,7 +257,7 @@ class Scanner:
         """The licences found, best first. Of hits that overlap only the best counts: a wording that is close to a
         template is so to its neighbours' too."""
         kept: list[Hit] = []
-        for hit in sorted(self.best(text).values(), key=Hit.order):
+        for hit in sorted([*self.tagged(text), *self.best(text).values()], key=Hit.order):
             if all(hit.end <= other.start or other.end <= hit.start for other in kept):
                 kept.append(hit)
         return kept

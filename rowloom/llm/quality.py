@@ -141,7 +141,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Forest:
             x = [statistics(text) for text in texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
-    found = chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y").mapInArrow(run, "doc_id long, y double, x array<double>").toArrow()
+    # a doc_id may stand in many rows: no more than the sample come to the driver, those with the smallest hashes of their numbers
+    made = chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y").mapInArrow(run, "doc_id long, y double, x array<double>")
+    found = made.orderBy(F.xxhash64("doc_id", "y", "x"), "doc_id", "y", "x").limit(sample).toArrow()
     x = np.array(found.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
     y = found.column("y").to_numpy()
     order = np.lexsort((*x.T, y, found.column("doc_id").to_numpy()))

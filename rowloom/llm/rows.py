@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
@@ -10,8 +11,18 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.tables import written
 
-#: Bits of the filter that spares rows a shuffle, in words of 64: the table of words has 262,144 rows at most, some 8 MB.
-BITS = 1 << 24
+#: Bits of the filter that spares rows a shuffle: BITS_PER_KEY for each key, in words of 64, MOST_WORDS at most (a table of
+#: some 40 MB). So up to MOST_WORDS * 64 / BITS_PER_KEY = 5.6 million keys about one in fifty other rows passes; with more keys
+#: there is no filter, and rows are shuffled to meet the keys, which costs their shuffle once.
+BITS_PER_KEY, MOST_WORDS = 12, 1 << 20
+
+
+@dataclass(frozen=True)
+class Filter:
+    """word, bits: a table that is broadcast; None where there are too many keys for one: then every row passes."""
+
+    table: DataFrame | None
+    words: int
 
 
 def located(docs: DataFrame) -> DataFrame:
@@ -54,27 +65,47 @@ def new_name(label: str) -> str:
     return f"_{label}_{uuid.uuid4().hex}"
 
 
-def _spot(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BITS))
+def words_for(keys: int) -> int:
+    """How many words a filter of so many keys has; 0: none."""
+    words = 1 << max(0, (max(1, keys * BITS_PER_KEY // 64) - 1).bit_length())
+    return words if words <= MOST_WORDS else 0
+
+
+def _word(key: Column, words: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(words))
+
+
+def _mask(key: Column) -> Column:
+    """Four bits of a word, of another hash."""
+    h = F.xxhash64(F.lit("bits"), key)
+    bit = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, at).bitwiseAND(F.lit(63)).cast("int"))
+    return bit(0).bitwiseOR(bit(6)).bitwiseOR(bit(12)).bitwiseOR(bit(18))
 
 
-def filter_of(keys: DataFrame, key: str) -> DataFrame:
-    """word, bits: a filter that all the keys pass; it is written, as both its users must see the same."""
-    spot = keys.select(_spot(F.col(key)).alias("spot"))
-    words = spot.groupBy(F.shiftright("spot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(spot & 63 AS int))")).alias("bits"))
-    return written(words, "filter")
+def filter_of(keys: DataFrame, key: str) -> Filter:
+    """A filter that all the keys (a table that is read twice) pass, of a size that suits their number; it is written, as all
+    its users must see the same."""
+    words = words_for(keys.count())
+    if not words:
+        return Filter(None, 0)
+    rows = keys.select(_word(F.col(key), words).alias("word"), _mask(F.col(key)).alias("bits"))
+    return Filter(written(rows.groupBy("word").agg(F.bit_or("bits").alias("bits")), "filter"), words)
 
 
-def passing(rows: DataFrame, key: str, words: DataFrame, others: bool = False) -> DataFrame:
+def passing(rows: DataFrame, key: str, found: Filter, others: bool = False) -> DataFrame:
     """The rows that a filter lets through: those with one of its keys and few more, or the others. Nothing is shuffled:
-    the filter, of at most BITS / 64 rows whatever the number of keys, is broadcast."""
-    spot = _spot(rows[key])
-    hit = (words["word"] == F.shiftright(spot, 6)) & (F.call_function("shiftright", words["bits"], F.pmod(spot, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1)
-    return rows.join(F.broadcast(words), hit, "left_anti" if others else "left_semi")
+    the filter's table, of at most MOST_WORDS rows, is broadcast."""
+    if found.table is None:
+        return rows.where(F.lit(not others))
+    mask = _mask(rows[key])
+    hit = (found.table["word"] == _word(rows[key], found.words)) & (found.table["bits"].bitwiseAND(mask) == mask)
+    return rows.join(F.broadcast(found.table), hit, "left_anti" if others else "left_semi")
 
 
 def without(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
     """rows without those whose key is among `gone` (a table of keys that is read twice). Only the rows that pass the
     filter of the keys are shuffled to find out."""
-    words = filter_of(gone, key)
-    return passing(rows, key, words, others=True).unionByName(passing(rows, key, words).join(gone, key, "left_anti"))
+    found = filter_of(gone, key)
+    if found.table is None:
+        return rows.join(gone, key, "left_anti")
+    return passing(rows, key, found, others=True).unionByName(passing(rows, key, found).join(gone, key, "left_anti"))
