@@ -63,11 +63,14 @@ def video_id(c: Column) -> Column:
     return F.when(host.isin("www.youtube.com", "youtube.com"), watched).when(host == "youtu.be", F.regexp_replace(path, "^/+", ""))
 
 
-def decoded_url(c: Column, rounds: int = 3) -> Column:
-    """Percent-decoded again and again, `rounds` times at most; what can't be decoded stays. A plus stays a plus."""
-    for _ in range(rounds):
-        c = F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
-    return c
+def decoded_url(c: Column) -> Column:
+    """Percent-decoded again and again until nothing changes; what can't be decoded stays. A plus stays a plus.
+
+    Each round takes one level off every %25, so there are no more rounds that change anything than the text has such
+    pieces, and one; a text without a percent sign is done at once."""
+    plain = lambda x: F.coalesce(F.try_url_decode(F.replace(x, F.lit("+"), F.lit("%2B"))), x)
+    rounds = (F.length(c) - F.length(F.replace(c, F.lit("25"), F.lit("")))) / 2 + 1
+    return F.aggregate(F.sequence(F.lit(1), rounds.cast("int")), c, lambda x, _: F.when(x.contains("%"), plain(x)).otherwise(x))
 
 
 def playlist_id(c: Column) -> Column:

@@ -161,6 +161,13 @@ def section_windows(spark, sf_dir):
     return windows(spark, sf_dir)
 
 
+@registered("""SELECT DISTINCT conv_id, section FROM conversations, (VALUES ('warm_up'), ('homework')) s(section)""")
+def missing_sections(spark, sf_dir):
+    """Of four sections wanted, one has no end and one is not there at all."""
+    sessions = table(spark, sf_dir, "conversations").select("conv_id").distinct().withColumn("sections", F.lit(SECTIONS))
+    return transcripts.missing_sections(sessions, "sections", "conv_id", ["lead_in", "wrap_up", "warm_up", "homework"])
+
+
 @registered(f"""SELECT conv_id, section || '_' || tag AS key, prompt, "window" FROM ({WINDOWS_SQL}) w JOIN
 (VALUES ('lead_in', 'score', 'Score the lead-in.'), ('teaching_vocab', 'score', 'Score the vocabulary.'), ('teaching_vocab', 'advice', 'Advise.')) p(family, tag, prompt)
 ON regexp_replace(section, '_[0-9]+$', '') = family""")

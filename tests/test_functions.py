@@ -37,6 +37,19 @@ def test_playlist_id(spark):
     assert values(spark, urls, text.playlist_id(C)) == ["PL12", "PLx", "PLpath", None, None, None]
 
 
+def test_decoded_until_nothing_changes(spark):
+    from urllib.parse import quote
+
+    shown = ["youtube.com/playlist?list=PLdeep", "a+b é ß/25", "25 25"]
+    for plain in shown:
+        texts = [plain]
+        for _ in range(9):
+            texts.append(quote(texts[-1], safe=""))
+        assert values(spark, texts, text.decoded_url(C)) == [plain] * 10
+    assert values(spark, ["", None, "100%", "%zz%20"], text.decoded_url(C)) == ["", None, "100%", "%zz%20"]
+    assert values(spark, [quote(quote(quote(quote(shown[0]))))], text.playlist_id(C)) == ["PLdeep"]
+
+
 def test_channel_ref(spark):
     raw = "UC" + "a" * 22
     urls = [raw, f"https://www.youtube.com/channel/{raw}", "youtube.com/c/own", "youtube.com/user/u1", "https://youtube.com/@h_1/videos", "short", None]
