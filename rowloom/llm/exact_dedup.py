@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from rowloom.llm.rows import filter_of, located, new_name, passing, place, without
 from rowloom.llm.tables import scratch, written
 
+#: Files of earlier batches that are read at once.
+FILES = 1_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 ARRIVALS = "digest binary, text_sha256 string, doc_id long, locator struct<file: string, row: long>, n_bytes long, batch string"
 
@@ -77,13 +79,25 @@ def seen(spark: SparkSession, checkpoint: str) -> DataFrame:
 def _contents(docs: DataFrame, hits: DataFrame) -> DataFrame:
     """locator, text of the rows that hits name, from docs and, for those of earlier batches, from the files that their
     locators name. Only rows that pass the filter of the locators are shuffled."""
-    spark, words = docs.sparkSession, filter_of(hits, "locator")
-    own = passing(docs.select(place(docs).alias("locator"), _text().alias("text")), "locator", words)
-    files = [row["file"] for row in hits.where("earlier").select("locator.file").distinct().collect()]
-    if files:
-        old = spark.read.schema("text string").parquet(*files)
-        own = own.unionByName(passing(old.select(place(old).alias("locator"), _text().alias("text")), "locator", words)).dropDuplicates(["locator"])
-    return own
+    spark, found = docs.sparkSession, filter_of(hits, "locator")
+    own = passing(docs.select(place(docs).alias("locator"), _text().alias("text")), "locator", found)
+    block, parts = [], []
+
+    def read() -> None:
+        old = spark.read.schema("text string").parquet(*block)
+        near = hits.where("earlier").select("locator").distinct()
+        parts.append(written(passing(old.select(place(old).alias("locator"), _text().alias("text")), "locator", found).join(near, "locator", "left_semi"), "earlier"))
+        block.clear()
+
+    for row in hits.where("earlier").select("locator.file").distinct().toLocalIterator():  # FILES names at a time
+        block.append(row["file"])
+        if len(block) == FILES:
+            read()
+    if block:
+        read()
+    for part in parts:
+        own = own.unionByName(part)
+    return own.dropDuplicates(["locator"]) if parts else own
 
 
 def exact_dedup(docs: DataFrame, digest=content_digest, state: str | None = None) -> DataFrame:
