@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -687,6 +689,61 @@ def label_folders(spark, sf_dir):
     return spark.read.schema("p_partkey long, p_retailprice double, final_label string").parquet(path)
 
 
+@registered("""WITH c AS (SELECT DISTINCT table_name, column_name, ordinal_position, data_type FROM information_schema.columns WHERE table_name IN ('customer', 'documents', 'labels')),
+p AS (SELECT 'customer' AS table_name, * FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM customer) ON COLUMNS(*) INTO NAME column_name VALUE present)
+UNION ALL SELECT 'documents', * FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM documents) ON COLUMNS(*) INTO NAME column_name VALUE present)
+UNION ALL SELECT 'labels', * FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM labels) ON COLUMNS(*) INTO NAME column_name VALUE present)),
+n AS (SELECT 'customer' AS table_name, count(*) AS n FROM customer UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'labels', count(*) FROM labels)
+SELECT table_name, column_name, ordinal_position::BIGINT AS position, CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(data_type) END AS type, n AS rows, present
+FROM c JOIN p USING (table_name, column_name) JOIN n USING (table_name)""")
+def catalog_profile(spark, sf_dir):
+    """Tables found in the session's catalog, their columns and types, and how many rows have each."""
+    prefix = "profiled_"
+    for name in ("customer", "documents", "labels"):
+        table(spark, sf_dir, name).createOrReplaceTempView(prefix + name)
+    found = [name for name in readers.table_list(spark) if name.startswith(prefix)]
+    parts = [readers.column_profile(spark, name).withColumn("table_name", F.lit(name.removeprefix(prefix))) for name in found]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    for name in found:
+        spark.catalog.dropTempView(name)
+    return rows.select("table_name", "column_name", "position", "type", "rows", "present")
+
+
+@registered("""SELECT event_type AS label, sum(octet_length(encode(coalesce(props, ''))) + 1)::BIGINT AS bytes FROM events GROUP BY event_type""")
+def media_listing(spark, sf_dir):
+    """Files in label folders, listed by suffix with their lengths alone; other files of the folder are not listed."""
+    path, events = shared.scratch(spark, "media"), table(spark, sf_dir, "events")
+    events.select(F.coalesce("props", F.lit("")).alias("value"), F.col("event_type").alias("label")).write.partitionBy("label").text(path)
+    events.select("event_id", F.col("event_type").alias("label")).write.mode("append").partitionBy("label").json(path)
+    files = readers.media_files(spark, path, "*.txt")
+    return files.groupBy(F.regexp_extract("path", "/label=([^/]*)/", 1).alias("label")).agg(F.sum("length").alias("bytes"))
+
+
+def relational_options(spark: SparkSession) -> dict[str, str]:
+    """Where `relation_scan` keeps its table: the database that spark.rowloom.jdbc.url (.user, .password, .driver) names,
+    which executors must reach. Only where that is unset and all of Spark is one process, as in tests, one in memory."""
+    given = {key: spark.conf.get(f"spark.rowloom.jdbc.{key}", "") for key in ("url", "user", "password", "driver")}
+    if not given["url"]:
+        if not (master := spark.sparkContext.master).startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.rowloom.jdbc.url to a database that executors reach")
+        given = {"url": "jdbc:derby:memory:rowloom;create=true", "user": "APP", "password": "x", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    options = readers.jdbc_options(given["url"], f"R_{uuid.uuid4().hex[:16].upper()}", given["user"], given["password"])
+    return options | ({"driver": given["driver"]} if given["driver"] else {})
+
+
+@registered("""SELECT c_custkey AS id, CASE WHEN c_nationkey < 8 THEN 3 WHEN c_nationkey < 20 THEN 1000 * c_custkey END AS split_key, c_acctbal AS amount FROM customer""")
+def relation_scan(spark, sf_dir):
+    """A relational table read in even ranges of a key of which a third of the rows have one value and some have none."""
+    options = relational_options(spark)
+    key = F.when(F.col("c_nationkey") < 8, F.lit(3).cast("long")).when(F.col("c_nationkey") < 20, 1000 * F.col("c_custkey").cast("long"))
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long").alias("ID"), key.alias("SPLIT_KEY"), F.col("c_acctbal").alias("AMOUNT"))
+    rows.write.format("jdbc").options(**options).save()
+    found = readers.relation_in_ranges(spark, "SPLIT_KEY", 8, **options)
+    return found.select(F.col("ID").alias("id"), F.col("SPLIT_KEY").alias("split_key"), F.col("AMOUNT").alias("amount"))
+
+
 @registered("""SELECT n.n_name AS nation, c.c_custkey AS id, c.c_name AS name FROM customer c JOIN nation n ON c_nationkey = n_nationkey""")
 def page_records(spark, sf_dir):
     """Response pages, one JSON document for each nation's customers, and their records exploded."""

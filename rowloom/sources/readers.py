@@ -38,6 +38,14 @@ def table_preview(spark: SparkSession, table: str, rows: int = 10) -> DataFrame:
     return spark.table(table).limit(rows)
 
 
+def column_profile(spark: SparkSession, table: str) -> DataFrame:
+    """column_name, position (from 1), type, rows, present (not null) of every column of a table, counted in one scan."""
+    columns = table_columns(spark, table)
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count(F.col("`" + name.replace("`", "``") + "`")).alias(f"present_{i}") for i, (name, _) in enumerate(columns)]]
+    each = [F.struct(F.lit(name).alias("column_name"), F.lit(i + 1).cast("long").alias("position"), F.lit(kind).alias("type"), "rows", F.col(f"present_{i}").alias("present")) for i, (name, kind) in enumerate(columns)]
+    return spark.table(table).agg(*counts).select(F.inline(F.array(*each)))
+
+
 def sheet(spark: SparkSession, path: str, schema: T.StructType | str, text_columns: tuple[str, ...] = ()) -> DataFrame:
     """A sheet kept as CSV with header, or as Parquet; text_columns stay text whatever they look like."""
     if path.rstrip("/").endswith(".parquet"):

@@ -38,6 +38,17 @@ def test_catalog(spark):
         readers.table_columns(spark, "no_such_table")
 
 
+def test_column_profile(spark):
+    odd = spark.createDataFrame([(1, None, None), (2, "", 1.5), (None, "x", None)], "id long, `a.b` string, `c``d` double")
+    odd.createOrReplaceTempView("odd_names")
+    got = [tuple(r) for r in readers.column_profile(spark, "odd_names").collect()]
+    assert got == [("id", 1, "bigint", 3, 2), ("a.b", 2, "string", 3, 2), ("c`d", 3, "double", 3, 1)]
+    odd.where("false").createOrReplaceTempView("odd_names")
+    assert [r.rows + r.present for r in readers.column_profile(spark, "odd_names").collect()] == [0, 0, 0]
+    plan = readers.column_profile(spark, "odd_names")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 1
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "s.csv").write_text("id,name\n0123,a\n")
     assert readers.sheet(spark, str(tmp_path / "s.csv"), "id LONG, name STRING", ("id",)).first().id == "0123"
