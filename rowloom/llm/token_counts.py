@@ -18,33 +18,36 @@ from pyspark.sql import functions as F
 from rowloom.llm.batches import sliced, texts
 from rowloom.llm.wordbpe import MADE, Cache, encoder
 
-#: Documents that the frequent pre-tokens are taken from, and how many of these are broadcast, at most.
-SAMPLE, FREQUENT = 2_000, 30_000
+#: Rows that the frequent pre-tokens are taken from, on average; how many of these are broadcast, and of how many
+#: characters, at most. So the broadcast has 8 MB at most.
+SAMPLE, FREQUENT, LONGEST = 2_000, 30_000, 64
+#: Tasks that the sample is counted in; each gives at most FREQUENT rows to the driver.
+TASKS = 16
 #: Pre-tokens that each generation of a worker's cache of lengths holds at most: some 60 MB for both.
 CACHED = 250_000
 
 
 def frequent_lengths(docs: DataFrame, tokenizer: str, sample: int = SAMPLE, most: int = FREQUENT) -> dict[str, int]:
-    """Numbers of tokens of the pre-tokens most frequent in the `sample` doc_ids with the smallest hashes."""
-    chosen = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    # the sample is bounded, so is what is broadcast
-    part = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi").select("text")
+    """Numbers of tokens of the pre-tokens most frequent in about `sample` rows, each row drawn with the same probability.
+
+    One scan, after the number of rows (which Parquet files tell by their footers). The rows drawn are dealt to TASKS
+    tasks, which count at the same time."""
+    share = min(1.0, sample / max(1, docs.count()))
+    drawn = docs.select("text").sample(share, seed=7).repartition(TASKS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = encoder(tokenizer), Counter()
         for batch in sliced(batches):
             for words in map(own.pre_tokens, texts(batch.column("text"))):
-                seen.update(words or ())
-        top = seen.most_common(most)
-        sizes = list(map(len, own.encode_words([word for word, _ in top])))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([word for word, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64()), pa.array(sizes, pa.int64())], ["word", "n", "size"])
-
-    total, sizes = Counter(), {}
-    for word, n, size in part.mapInArrow(count, "word string, n long, size long").toLocalIterator():
-        total[word] += n
-        sizes[word] = size
-    return {word: sizes[word] for word, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:most]}
+                seen.update(word for word in words or () if len(word) <= LONGEST)
+        words, counts = zip(*seen.most_common(most)) if seen and most else ((), ())
+        sizes = list(map(len, own.encode_words(list(words))))
+        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())], ["word", "n", "size"])
+
+    counted = drawn.mapInArrow(count, "word string, n long, size long").toArrow()  # at most TASKS x most rows
+    totals = counted.group_by("word").aggregate([("n", "sum"), ("size", "min")])
+    top = totals.sort_by([("n_sum", "descending"), ("word", "ascending")]).slice(0, most)
+    return dict(zip(top["word"].to_pylist(), top["size_min"].to_pylist()))
 
 
 class Counts:

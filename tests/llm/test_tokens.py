@@ -54,6 +54,20 @@ def test_token_counts(spark):
     assert token_counts.token_counts(docs(spark, []), BYTE).count() == 0
 
 
+def test_frequent_lengths_are_bounded(spark):
+    """The table holds the most frequent words of the sample, none that is long; a doc_id that most rows have or that is
+    null weighs by its rows."""
+    rows = [(7, f"often seen w{i} " + "long" * 40, "s") for i in range(300)] + [(None, "null ids too", "s")] * 50
+    library = Tokenizer.from_file(BYTE)
+    found = token_counts.frequent_lengths(docs(spark, rows), BYTE, sample=1_000, most=4)
+    assert len(found) == 4 and {"often", " seen", " w"} <= set(found) and all(found[w] == len(library.encode(w, add_special_tokens=False).ids) for w in found)
+    whole = token_counts.frequent_lengths(docs(spark, rows), BYTE, sample=1_000)
+    assert max(map(len, whole)) <= token_counts.LONGEST and "null" in whole
+    few = token_counts.frequent_lengths(docs(spark, rows), BYTE, sample=20)
+    assert few and len(few) < len(whole)
+    assert token_counts.frequent_lengths(docs(spark, []), BYTE) == {} and token_counts.frequent_lengths(docs(spark, rows), BYTE, most=0) == {}
+
+
 def test_long_and_foreign_texts(spark):
     """Scripts beyond the plain characters go through both tiers too, as do texts of megabytes."""
     rows = [(1, "Привет, мир! Это тест. " * 3000, "s"), (2, "日本語 テキスト" * 2000, "s"), (3, "word " * 400_000, "s"), (4, "q" * 1_000_000, "s"), (5, "a <|endoftext|> é😀 b", "s")]
