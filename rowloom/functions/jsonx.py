@@ -89,28 +89,32 @@ def joined_purpose(c: Column, default: str = NO_INFORMATION) -> Column:
     return F.coalesce(F.when(_is_array(c), items).otherwise(c), F.lit(default))
 
 
+def _bodies(df: DataFrame, answer: str, *ids: str) -> DataFrame:
+    """The id columns and _valid: an answer's first fenced block, or the whole text, where that is JSON. Block and check are
+    columns of their own, so that neither is worked out again for each place that asks for them."""
+    from rowloom.functions.text import fenced_json
+
+    rows = df.select(*ids, F.trim(fenced_json(F.col(answer))).alias("_body"))
+    return rows.select(*ids, F.when(is_json(F.col("_body")), F.col("_body")).alias("_valid"))
+
+
+def _items(valid: Column) -> Column:
+    """The items of an array, or the one object; null for other values."""
+    return F.when(_is_array(valid), F.from_json(valid, "array<string>")).when(_is_object(valid), F.array(valid))
+
+
 def answer_items(df: DataFrame, answer: str, *ids: str) -> DataFrame:
     """One row per object of a model's answer: the id columns, pos, item (JSON text). The answer is the first fenced
     block or the whole text, an array of objects or one object; what is neither gives no row."""
-    from rowloom.functions.text import fenced_json
-
-    body = F.trim(fenced_json(F.col(answer)))
-    valid = F.when(is_json(body), body)
-    items = F.when(_is_array(valid), F.from_json(valid, "array<string>")).when(_is_object(valid), F.array(valid))
-    rows = df.select(*ids, F.posexplode(items).alias("pos", "item"))
+    rows = _bodies(df, answer, *ids).select(*ids, F.posexplode(_items(F.col("_valid"))).alias("pos", "item"))
     return rows.where(_is_object(F.col("item")) & is_json(F.col("item")))
 
 
 def answers_dropped(df: DataFrame, answer: str) -> DataFrame:
     """One row (n_answers, n_unread, n_items, n_dropped): answers, those that are no JSON object or array, items of the
     others, and those of them that are no object."""
-    from rowloom.functions.text import fenced_json
-
-    body = F.trim(fenced_json(F.col(answer)))
-    valid = F.when(is_json(body), body)
-    items = F.when(_is_array(valid), F.from_json(valid, "array<string>")).when(_is_object(valid), F.array(valid))
     kept = F.size(F.filter("items", lambda item: _is_object(item) & is_json(item)))
-    rows = df.select(items.alias("items")).select("items", F.coalesce(F.size("items"), F.lit(0)).alias("n"), F.coalesce(kept, F.lit(0)).alias("kept"))
+    rows = _bodies(df, answer).select(_items(F.col("_valid")).alias("items")).select("items", F.coalesce(F.size("items"), F.lit(0)).alias("n"), F.coalesce(kept, F.lit(0)).alias("kept"))
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
     unread = F.col("items").isNull()
     return rows.agg(F.count(F.lit(1)).alias("n_answers"), F.count_if(unread).alias("n_unread"), total(F.when(~unread, F.col("n"))).alias("n_items"), total(F.when(~unread, F.col("n") - F.col("kept"))).alias("n_dropped"))
