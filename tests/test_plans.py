@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from rowloom.functions import jsonx
 from rowloom.operators import index, ingest
 
 SF = "/root/testdata/sf0.001"
@@ -40,3 +41,10 @@ def test_anti_join_is_one_shuffle_each(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "LeftAnti" in text and 2 <= text.count("Exchange hashpartitioning") <= 3 and text.count("Exchange") == text.count("Exchange hashpartitioning")
+
+
+def test_an_answers_block_is_worked_out_once(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    text = plan(jsonx.answer_items(df, "text", "doc_id"))
+    # one block, one check of the body; the other check is that of each item
+    assert text.count("regexp_extract") == 1 and text.count("parseJson") == 2 and text.count("from_json") == 1
