@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from rowloom.functions.jsonx import sections
 from rowloom.functions.timefmt import line_seconds, ms_clock
 
+#: Shares of a folder's names that are indexed apart.
+SHARES = 16
+
 _SEGMENT = "struct<speaker:string,start_time:bigint,end_time:bigint,text:string>"
 
 
@@ -81,32 +84,33 @@ def score_requests(windows: DataFrame, prompts: DataFrame, session: str) -> Data
     return rows.select(session, F.concat_ws("_", "section", "tag").alias("key"), "prompt", "window")
 
 
-def _grams(text: Column, n: int) -> Column:
-    """All pieces of n characters; none where the text is shorter."""
-    return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda at: F.substring(text, at, F.lit(n)))).otherwise(F.array().cast("array<string>"))
-
-
-def paired_names(videos: DataFrame, audio: DataFrame, folder: str, gram: int = 3) -> DataFrame:
+def paired_names(videos: DataFrame, audio: DataFrame, folder: str, gram: int = 8) -> DataFrame:
     """(folder, base, first_role, second_role): for each video of a folder the audio files whose name contains its base
     name, one for each role, both needed. HV is tested before mentor; the last name of a role counts.
 
-    videos: folder, base. audio: folder, name. An index of the folders' names by their pieces of up to `gram` characters (so
-    as many rows as names have characters, times `gram`) tells how many names hold a piece; each base is looked up by its rarest
-    piece alone, and what is found is verified. A base with a piece that no name has is left out before that. An
-    empty base pairs nothing, nor does anything in a null folder."""
-    def sized(c: Column) -> Column:
-        """Pieces of `gram` characters, of a shorter text the whole."""
-        made = F.array(c)
-        for n in range(1, gram + 1):
-            made = F.when(F.length(c) >= n, F.array_distinct(_grams(c, n))).otherwise(made)
-        return made
-
-    index = audio.select(F.col(folder).alias("_in"), "name", F.explode(F.array_distinct(F.flatten(F.array(*(_grams(F.col("name"), n) for n in range(1, gram + 1)))))).alias("_piece"))
-    counts = index.groupBy("_in", "_piece").agg(F.count(F.lit(1)).alias("_n"))
-    bases = videos.select(folder, "base").distinct().where("base <> ''").select(folder, "base", F.explode(sized(F.col("base"))).alias("_part"))
-    known = bases.join(counts, (F.col(folder) == F.col("_in")) & (F.col("_part") == F.col("_piece")), "left")
-    rarest = known.groupBy(folder, "base").agg(F.min(F.coalesce("_n", F.lit(0))).alias("_least"), F.min_by("_part", F.struct("_n", "_part")).alias("_key")).where("_least > 0")
-    found = index.join(rarest.select(F.col(folder).alias("_of"), "base", "_key"), (F.col("_in") == F.col("_of")) & (F.col("_piece") == F.col("_key"))).where(F.col("name").contains(F.col("base")))
+    videos: folder, base. audio: folder, name. Names without a role are left out at once. A base is looked up by one of its
+    pieces, as long as the greatest power of two that the base and `gram` allow: the one that fewest bases of its folder
+    have, so a piece that many names share is asked for by few. Names are indexed by their pieces of the lengths that
+    their folder's bases ask for (so an index has as many rows as names have characters, times one to four), and what
+    is found is verified. All joins are by sorting: nothing of a size that grows with the tables is broadcast. An empty
+    base pairs nothing, nor does anything in a null folder."""
+    size = F.lit(1)
+    for n in range(1, gram.bit_length()):
+        size = F.when(F.length("base") >= 2**n, F.lit(2**n)).otherwise(size)
+    wanted = videos.select(folder, "base").where(F.col(folder).isNotNull() & (F.col("base") != "")).distinct().withColumn("_size", size)
+    starts = lambda text: F.explode(F.sequence(F.lit(1), F.length(text) - F.col("_size") + 1))
+    piece = lambda text: F.substring(F.col(text), F.col("_at"), F.col("_size"))
+    asked = wanted.select(folder, "base", "_size", starts("base").alias("_at")).select(folder, "base", piece("base").alias("_piece")).distinct()
+    shared = asked.groupBy(folder, "_piece").agg(F.count(F.lit(1)).alias("_n")).hint("merge")
+    keys = asked.join(shared, [folder, "_piece"]).groupBy(F.col(folder).alias("_of"), "base").agg(F.min(F.struct("_n", "_piece"))["_piece"].alias("_key"))
+
+    # a folder may have most of the names: its lengths are dealt out with the shares of its names
+    sizes = wanted.groupBy(folder).agg(F.collect_set("_size").alias("_sizes")).select(F.col(folder).alias("_of"), "_sizes", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("_share"))
+    heard = audio.select(F.col(folder).alias("_in"), "name").where(F.col("name").contains("HV") | F.col("name").contains("mentor")).distinct()
+    heard = heard.withColumn("_share", F.pmod(F.xxhash64("name"), F.lit(SHARES)).cast("int"))
+    heard = heard.join(sizes.hint("merge"), (F.col("_in") == F.col("_of")) & (heard["_share"] == sizes["_share"])).select("_in", "name", F.explode("_sizes").alias("_size"))
+    index = heard.where(F.length("name") >= F.col("_size")).select("_in", "name", "_size", starts("name").alias("_at")).select("_in", "name", piece("name").alias("_piece"))
+    found = index.join(keys.hint("merge"), (F.col("_in") == F.col("_of")) & (F.col("_piece") == F.col("_key"))).where(F.col("name").contains(F.col("base")))
     role = F.when(F.col("name").contains("HV"), "first").when(F.col("name").contains("mentor"), "second")
     rows = found.withColumn("_role", role).groupBy(F.col("_of").alias(folder), "base").agg(
         F.max(F.when(F.col("_role") == "first", F.col("name"))).alias("first_role"), F.max(F.when(F.col("_role") == "second", F.col("name"))).alias("second_role"))

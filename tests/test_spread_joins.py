@@ -70,6 +70,16 @@ def test_names_are_indexed_in_linear_size(spark):
     assert not any(word in text for word in ("NestedLoop", "Cartesian", "Python"))
 
 
+def test_pairing_names_broadcasts_nothing(spark):
+    """Not even when the sizes at run time would have joins changed: the driver's memory must not depend on the tables."""
+    import __spark_entry__ as entry
+
+    got = entry.queries()["name_pairing"](spark, "/root/testdata/sf0.001")
+    assert got.collect()
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in text and "SortMergeJoin" in text and "Broadcast" not in text
+
+
 def test_answers_are_parsed_once(spark):
     rows = [(1, '```json\n[{"a": 1, "b": "x"}, 5, {"c": null}]\n```'), (2, '{"b": [1, "y"], "d": {"e": 1}}'), (3, "{broken"), (4, None), (5, "[]"), (6, '["{\\"z\\": 1", {}]')]
     df = spark.createDataFrame(rows, "id long, answer string")
