@@ -1,10 +1,12 @@
 """Near copies by word shingles: operator 8's index and count filter over fingerprints of positional bytes.
 
-Two texts are near copies if the Jaccard coefficient of their sets of five-word shingles is 0.8 or more. At that
-similarity 15 % of SimHash's bits differ and a byte of eight survives with a probability of 0.27 only, so no index over
-its bytes can guarantee such pairs. The positional bytes here are those of 200 min-hashes instead: each is the same for
-both texts with a probability of their similarity. All else is as in `simhash`: an inverted index keyed by several
-positional bytes at once (40 sets of five), a tally of the positional bytes that two texts share (at 0.8, fewer than 120
+Two texts are near copies if the Jaccard coefficient of their sets of five-word shingles is 0.8 or more. The first eight
+positional bytes are operator 8's: the SimHash fingerprint of these shingles, indexed by its 14 blocks, so all texts whose
+fingerprints are 3 bits apart or less meet. But at a similarity of 0.8, 15 % of SimHash's bits differ and a byte of
+eight survives with a probability of 0.27 only, so no index over its bytes can guarantee such pairs. For those beyond its
+reach 200 more positional bytes come from min-hashes: each is the same for both texts with a probability of their
+similarity. All are in one inverted index keyed by several positional bytes at once (here 40 sets of five). What follows is
+as in `simhash`: a tally of the positional bytes of min-hashes that two texts share (at 0.8, fewer than 120
 of 200 have a probability below 1e-10), and an exact check of what reaches it. A pair at exactly 0.8 misses all 40 keys
 with a probability of 1.2e-7, a closer one with less.
 
@@ -31,6 +33,8 @@ from rowloom.llm.tables import written
 
 WORDS, SIMILARITY = 5, 0.8
 ROWS, BANDS = 5, 40
+#: Positional bytes of the SimHash fingerprint; they come before those of the min-hashes.
+PRINT = 8
 #: Positional bytes that a pair must share: a smaller share of them, and the pair is not looked at.
 AGREE = 0.6
 #: Shingles hashed at once.
@@ -71,13 +75,14 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def sketched(docs: DataFrame, key: str) -> DataFrame:
-    """doc_id, key, node, sketch (the positional bytes; none for a text without words) of each row."""
+    """doc_id, key, node, sketch (the positional bytes: of the fingerprint, then of the min-hashes; none for a text without
+    words) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             sets = [shingle_set(text) for text in texts(batch.column("text"))]
             nodes = [xxhash.xxh64_intdigest(found.tobytes(), 7) - (1 << 63) for found in sets]
-            sketches = [positional_bytes(found).tobytes() if len(found) else b"" for found in sets]
+            sketches = [np.int64(simhash.majority(found)).tobytes() + positional_bytes(found).tobytes() if len(found) else b"" for found in sets]
             columns = [batch.column("doc_id"), batch.column(key), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", key, "node", "sketch"])
 
@@ -86,14 +91,17 @@ def sketched(docs: DataFrame, key: str) -> DataFrame:
 
 
 def postings(nodes: DataFrame) -> DataFrame:
-    """key, node: one row for each set of five positions. The key holds the set's number above its five bytes."""
+    """key, node: one row for each set of five positions and each block of the fingerprint. The key holds the number of the set
+    above its five bytes; the blocks, of four bytes, have the numbers from BANDS on."""
     powers = (np.int64(256) ** np.arange(ROWS, dtype=np.int64))[None, None, :]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            raw = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8)
-            keys = (raw.reshape(-1, BANDS, ROWS).astype(np.int64) * powers).sum(axis=2) + (np.arange(BANDS, dtype=np.int64) << 40)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column("node").to_numpy(), BANDS))], ["key", "node"])
+            raw = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, PRINT + ROWS * BANDS).astype(np.int64)
+            keys = (raw[:, PRINT:].reshape(-1, BANDS, ROWS) * powers).sum(axis=2) + (np.arange(BANDS, dtype=np.int64) << 40)
+            blocks = (raw[:, simhash.BLOCKS] * powers[0, :, :4]).sum(axis=2) + (np.arange(BANDS, BANDS + len(simhash.BLOCKS), dtype=np.int64) << 40)
+            keys = np.concatenate([keys, blocks], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column("node").to_numpy(), keys.shape[1]))], ["key", "node"])
 
     return nodes.where(F.octet_length("sketch") > 0).select("node", "sketch").mapInArrow(run, "key long, node long")
 
@@ -119,7 +127,7 @@ def tallied(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 2048):
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, ROWS * BANDS) for c in ("of_a", "of_b"))
+            a, b = (_sketches(batch, c) for c in ("of_a", "of_b"))
             yield batch.select(["a", "b"]).filter(pa.array((a == b).mean(axis=1) >= AGREE))
 
     return both.mapInArrow(run, "a long, b long")
@@ -189,8 +197,9 @@ def paired_off(parts: DataFrame) -> DataFrame:
     return _by_part(parts).mapInArrow(run, "a long, b long").distinct()
 
 
-def _sketches(rows: pa.Table) -> np.ndarray:
-    return np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, ROWS * BANDS)
+def _sketches(rows: pa.Table | pa.RecordBatch, column: str = "sketch") -> np.ndarray:
+    """The positional bytes that are tallied: those of the min-hashes."""
+    return np.frombuffer(b"".join(rows.column(column).to_pylist()), np.uint8).reshape(-1, PRINT + ROWS * BANDS)[:, PRINT:]
 
 
 def _by_part(rows: DataFrame) -> DataFrame:

@@ -218,6 +218,23 @@ def test_near_copies(spark, monkeypatch, chunk, size):
     assert sum(bin(fps[a] ^ fps[b]).count("1") <= 3 for a, b in pairs) < 0.5 * len(pairs)
 
 
+def test_stage_links_by_fingerprints(spark, monkeypatch):
+    """Operator 8's fingerprints and blocks alone, without the keys of min-hashes: the stage finds the near copies that share
+    a block, those at 3 bits or fewer among them."""
+    rng = random.Random(11)
+    bases = [[rng.choice("abcdefghij") + str(rng.randrange(900)) for _ in range(900)] for _ in range(12)]
+    rows = [(2 * n + at, " ".join(base[: 900 - 9 * at])) for n, base in enumerate(bases) for at in (0, 1)]
+    fps = [simhash.majority(near_dedup.shingle_set(t)) & (2**64 - 1) for _, t in rows]
+    close = {n for n in range(12) if (fps[2 * n] ^ fps[2 * n + 1]).bit_count() <= 3}
+    byte = lambda fp, at: fp >> 8 * at & 255
+    met = {n for n in range(12) if any(all(byte(fps[2 * n], at) == byte(fps[2 * n + 1], at) for at in block) for block in simhash.BLOCKS)}
+    assert close and close <= met
+    every = near_dedup.postings
+    monkeypatch.setattr(near_dedup, "postings", lambda nodes: every(nodes).where(F.col("key") >= near_dedup.BANDS << 40))
+    left = {r.doc_id for r in near_dedup.one_of_each(docs(spark, rows)).collect()}
+    assert left == {i for i, _ in rows} - {2 * n + 1 for n in met}
+
+
 def test_stage_drops_near_copies(spark):
     """One word of a hundred changed: a similarity of 0.90, but SimHashes further apart than 3 bits."""
     import corpus_pipeline
