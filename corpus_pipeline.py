@@ -39,7 +39,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, their ids included. A null or empty text is the end id alone; null doc_ids, null
     sources and repeated rows are packed like others. An empty table gives no piece."""
     lean(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # executors have run the other stages and hold their memory: a smaller cache of pre-tokens, at some more work
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), cached=100_000)
 
 
 STAGES = [("quality", keep_quality), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("packing", pack)]

@@ -60,6 +60,10 @@ def absorb(spark: SparkSession, source: str, schema, checkpoint: str, files_per_
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     # many small stores: no preallocated files in each
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+    # one cache and one bound for all stores of an executor, and write buffers that suit their size: else each store has its own,
+    # outside the heap, and they are not unloaded before later stages
+    for name, value in (("boundedMemoryUsage", "true"), ("maxMemoryUsageMB", "128"), ("writeBufferSizeMB", "4")):
+        own.conf.set(f"spark.sql.streaming.stateStore.rocksdb.{name}", value)
     own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     stream = own.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     query = (

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.batches import sliced, texts
 from rowloom.llm.tables import written
-from rowloom.llm.wordbpe import encoder
+from rowloom.llm.wordbpe import CACHED, encoder
 
 #: Sources with a queue of their own, those with most tokens; all others share the last queue, in the order of their
 #: documents' hashes. Sources that a mixture names always have their own.
@@ -174,11 +174,11 @@ def pieces(phases: list[Phase], queue: np.ndarray, start: np.ndarray, length: np
     return tuple(np.concatenate(column) for column in zip(*found))
 
 
-def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def token_table(docs: DataFrame, tokenizer: str, end_id: int, cached: int = CACHED) -> DataFrame:
     """source, doc_id, n, ids: the ids of each text and end_id, little-endian in two bytes where they fit, else four."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer)
+        own = encoder(tokenizer, cached)
         kind = "<u2" if max(own.size, end_id + 1) <= 1 << 16 else "<u4"
         last = np.array([end_id], kind).tobytes()
         for batch in sliced(batches):
@@ -204,17 +204,18 @@ def _names(like: DataFrame, names: list[str]) -> DataFrame:
     return like.sparkSession.createDataFrame([(name,) for name in names], "source string")
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, mixture: dict[str, float] | None = None, queues: int = QUEUES) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 1, mixture: dict[str, float] | None = None, queues: int = QUEUES, cached: int = CACHED) -> DataFrame:
     """One row per piece: source, doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned
     32-bit). Every id of every row lies in one piece; all sequences but the last are full.
 
     mixture: target weight of each source; those that it does not name come last. Without it, sources keep their share of
     all tokens. Sources that the mixture does not name and that are not among the `queues` largest share one queue; null
     is a source like any other. A null text is an empty one, of end_id alone.
+    cached: pre-tokens that a worker keeps in each generation; it changes time and memory, no result.
     Rows with a null doc_id and repeated rows are packed like others. An empty table gives an empty result. Columns
     other than doc_id, text and source are not looked at.
     """
-    tokens = written(token_table(docs, tokenizer, end_id).withColumn("row_key", F.monotonically_increasing_id()), "tokens")
+    tokens = written(token_table(docs, tokenizer, end_id, cached).withColumn("row_key", F.monotonically_increasing_id()), "tokens")
     by_source = tokens.groupBy("source").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("docs"))
     everything = by_source.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("docs"), F.lit(0)).alias("docs")).first()
     named = by_source.where(F.col("source").isin(*mixture)).collect() if mixture else []  # no more than the mixture has

@@ -87,7 +87,7 @@ def splitter(library: Tokenizer):
 class Encoder:
     """Ids of texts without special tokens. Their strings inside a text are found as the library does by default."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED):
         # pre-tokens are normalised and split already: all that is left to do is the byte mapping and the merges; the
         # cache is here, so the model needs none of its own
         self.path, self.words = path, Tokenizer.from_file(path)
@@ -99,7 +99,7 @@ class Encoder:
         self.words.normalizer = None
         self.words.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.words.model._resize_cache(0)
-        self.cache = Cache()
+        self.cache = Cache(cached)
 
     @cached_property
     def library(self) -> Tokenizer:
@@ -145,6 +145,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cached: int = CACHED) -> Encoder:
     """One encoder in a worker, kept from task to task; another file's takes its place."""
-    return Encoder(path)
+    return Encoder(path, cached)

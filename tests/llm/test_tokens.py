@@ -235,3 +235,11 @@ def test_a_mixture_names_a_small_source(spark):
         got = packing.pack(docs(spark, rows), WORD, size=64, mixture={"tiny": 1.0, "s1": 3.0}, queues=queues).toPandas()
         first = got[got.sequence_id < 7].groupby(["sequence_id", "source"]).length.sum().unstack(fill_value=0)
         assert (first["tiny"] == 16).all() and (first["s1"] == 48).all()
+
+
+def test_a_small_cache_gives_the_same_ids():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, small = wordbpe.Encoder(path), wordbpe.Encoder(path, 5)
+    batch = [" ".join(f"word{i * k % 37} other" for i in range(50)) for k in range(4)]
+    assert [x.tolist() for x in own.ids(batch)] == [x.tolist() for x in small.ids(batch)]
+    assert len(small.cache.young) <= 5 < len(own.cache.young)
