@@ -723,13 +723,15 @@ def media_listing(spark, sf_dir):
 
 def relational_options(spark: SparkSession) -> dict[str, str]:
     """Where `relation_scan` keeps its table: the database that spark.rowloom.jdbc.url (.user, .password, .driver) names,
-    which executors must reach. Only where that is unset and all of Spark is one process, as in tests, one in memory."""
+    which executors must reach. Where that is unset, one in memory if all of Spark is one process, as in tests; executors
+    elsewhere don't see that, so there it is a table of Spark's catalog, without a url."""
     given = {key: spark.conf.get(f"spark.rowloom.jdbc.{key}", "") for key in ("url", "user", "password", "driver")}
+    name = f"R_{uuid.uuid4().hex[:16].upper()}"
     if not given["url"]:
         if not (master := spark.sparkContext.master).startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("set spark.rowloom.jdbc.url to a database that executors reach")
+            return {"dbtable": name}
         given = {"url": "jdbc:derby:memory:rowloom;create=true", "user": "APP", "password": "x", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    options = readers.jdbc_options(given["url"], f"R_{uuid.uuid4().hex[:16].upper()}", given["user"], given["password"])
+    options = readers.jdbc_options(given["url"], name, given["user"], given["password"])
     return options | ({"driver": given["driver"]} if given["driver"] else {})
 
 
@@ -739,8 +741,15 @@ def relation_scan(spark, sf_dir):
     options = relational_options(spark)
     key = F.when(F.col("c_nationkey") < 8, F.lit(3).cast("long")).when(F.col("c_nationkey") < 20, 1000 * F.col("c_custkey").cast("long"))
     rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long").alias("ID"), key.alias("SPLIT_KEY"), F.col("c_acctbal").alias("AMOUNT"))
-    rows.write.format("jdbc").options(**options).save()
+    if "url" in options:
+        rows.write.format("jdbc").options(**options).save()
+    else:
+        path = shared.scratch(spark, "relation")
+        writers.write_by_key(rows, path, "SPLIT_KEY")
+        spark.read.schema(rows.schema).parquet(path).createOrReplaceTempView(options["dbtable"])
     found = readers.relation_in_ranges(spark, "SPLIT_KEY", 8, **options)
+    if "url" not in options:
+        spark.catalog.dropTempView(options["dbtable"])
     return found.select(F.col("ID").alias("id"), F.col("SPLIT_KEY").alias("split_key"), F.col("AMOUNT").alias("amount"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,9 @@ def jdbc_options(url: str, table: str, user: str, password: str, partition_colum
 
 
 def relation(spark: SparkSession, **options: str) -> DataFrame:
+    """A table or query of the database that `url` names, or without one of Spark's own catalog."""
+    if "url" not in options:
+        return spark.sql(f"SELECT * FROM {options['dbtable']}")
     return spark.read.format("jdbc").options(**options).load()
 
 
@@ -102,7 +107,8 @@ def key_ranges(spark: SparkSession, column: str, partitions: int = 16, **options
     def counted(start: int, end: int) -> list[tuple[int, int]]:
         """(first key, rows) of ranges between start and end, the latter not included."""
         width = max(1, -(-(end - start) // 256))
-        found = rows(f"SELECT b, COUNT(*) AS n FROM (SELECT FLOOR(({column} - ({start})) / {width}) AS b FROM {table} WHERE {column} >= {start} AND {column} < {end}) r GROUP BY b")
+        place = f"FLOOR(({column} - ({start})) / {width})" if "url" in options else f"(CAST({column} AS DECIMAL(20, 0)) - ({start})) DIV {width}"
+        found = rows(f"SELECT b, COUNT(*) AS n FROM (SELECT {place} AS b FROM {table} WHERE {column} >= {start} AND {column} < {end}) r GROUP BY b")
         out = []
         for b, m in sorted((int(b), int(m)) for b, m in found):
             first = start + b * width
@@ -121,6 +127,11 @@ def key_ranges(spark: SparkSession, column: str, partitions: int = 16, **options
 
 
 def relation_in_ranges(spark: SparkSession, column: str, partitions: int = 16, **options: str) -> DataFrame:
-    """A relational scan split by key_ranges."""
+    """A relational scan split by key_ranges. A table of Spark's catalog is scanned once for each range, so it should be stored
+    by its key (writers.write_by_key): then a scan skips what lies outside its range."""
+    ranges = key_ranges(spark, column, partitions, **options)
+    if "url" not in options:
+        found = relation(spark, **options)
+        return reduce(DataFrame.unionAll, [found.where(condition) for condition in ranges])
     rest = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
-    return spark.read.jdbc(options["url"], options["dbtable"], predicates=key_ranges(spark, column, partitions, **options), properties=rest)
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=ranges, properties=rest)

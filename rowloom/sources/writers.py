@@ -53,6 +53,12 @@ def write_lines(df: DataFrame, path: str, column: str, *order: str) -> None:
     df.repartitionByRange(*order).sortWithinPartitions(*order).select(F.col(column).cast("string").alias("value")).write.mode("errorifexists").text(path)
 
 
+def write_by_key(df: DataFrame, path: str, *order: str) -> None:
+    """Rows stored where they lie, each file in the order of a key: a scan of a range of it skips a file's other pages, and no
+    value is too frequent, as nothing is shuffled."""
+    df.sortWithinPartitions(*order).write.mode("errorifexists").parquet(path)
+
+
 def write_by_label(df: DataFrame, path: str, label: str = "final_label") -> None:
     df.write.mode("errorifexists").partitionBy(label).parquet(path)
 

@@ -124,3 +124,25 @@ def test_relation_in_even_ranges(spark):
     assert readers.key_ranges(spark, "ID", 8, **none) == ["1 = 1"] and readers.relation_in_ranges(spark, "ID", 8, **none).count() == 0
     one = options | {"dbtable": "(SELECT * FROM SKEWED WHERE N < 100) t1"}
     assert readers.key_ranges(spark, "ID", 8, **one) == ["ID IS NOT NULL"]
+
+
+def test_catalog_table_in_even_ranges(spark, tmp_path):
+    """A table of Spark's catalog gets the conditions that a database gives for the same keys; keys may be as far apart as
+    whole numbers are."""
+    options = readers.jdbc_options("jdbc:derby:memory:rowloom_both;create=true", "BOTH_KEYS", "APP", "x") | {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    keys = [7] * 1_000 + list(range(-500, 500)) + [10**9 + 3 * i for i in range(900)] + [4 * 10**12, None, None, None]
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "ID long, N int")
+    rows.write.format("jdbc").options(**options).mode("overwrite").save()
+    writers.write_by_key(rows, str(tmp_path / "t"), "ID")
+    spark.read.schema(rows.schema).parquet(str(tmp_path / "t")).createOrReplaceTempView("stored_keys")
+    assert readers.key_ranges(spark, "ID", 8, dbtable="stored_keys") == readers.key_ranges(spark, "ID", 8, **options)
+    assert sorted(r.N for r in readers.relation_in_ranges(spark, "ID", 8, dbtable="stored_keys").collect()) == list(range(len(keys)))
+    assert readers.relation_in_ranges(spark, "ID", 8, dbtable="(SELECT * FROM stored_keys WHERE N < 0) t0").count() == 0
+    far = [-(2**63), -(2**63) + 1, *range(2**53, 2**53 + 1_000), 2**63 - 1, None]
+    spark.createDataFrame([(k, i) for i, k in enumerate(far)], "ID long, N int").createOrReplaceTempView("far_keys")
+    got = readers.relation_in_ranges(spark, "ID", 4, dbtable="far_keys")
+    assert sorted(r.N for r in got.collect()) == list(range(len(far)))
+    sizes = [spark.table("far_keys").where(condition).count() for condition in readers.key_ranges(spark, "ID", 4, dbtable="far_keys")]
+    assert sum(sizes) == len(far) and len(sizes) >= 5 and max(sizes) <= len(far) / 4 + 10
+    for name in ("stored_keys", "far_keys"):
+        spark.catalog.dropTempView(name)
